@@ -106,8 +106,8 @@ judged as (
     when len(c) <> 9 then 'columns'
     when c[8] not in ('0', '1', '2', '.') then 'frame'
     when not regexp_full_match(c[9], '(\\s*;)*\\s*([^\\s";]+\\s+("[^"]*"|[\\pL\\pN._:-]+)\\s*;[\\s;]*)*([^\\s";]+\\s+("[^"]*"|[\\pL\\pN._:-]+)\\s*)?') then 'quoting'
-    when not list_bool_or(list_transform(p, lambda x: regexp_matches(x, '^gene_id\\s+("\\s*[^"\\s]|[^"\\s])')))
-      or (c[3] <> 'gene' and not list_bool_or(list_transform(p, lambda x: regexp_matches(x, '^transcript_id\\s+("\\s*[^"\\s]|[^"\\s])')))) then 'ids'
+    when not coalesce(list_bool_or(list_transform(p, lambda x: regexp_matches(x, '^gene_id\\s+("\\s*[^"\\s]|[^"\\s])'))), false)
+      or (c[3] <> 'gene' and not coalesce(list_bool_or(list_transform(p, lambda x: regexp_matches(x, '^transcript_id\\s+("\\s*[^"\\s]|[^"\\s])'))), false)) then 'ids'
     end reason from cut)
 """
 
