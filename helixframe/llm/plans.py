@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from helixframe.llm.encoding import decoded_text, token_counts, token_ids
 from helixframe.llm.packing import fill_report, pack_documents
+from helixframe.llm.toxicity import toxic_documents, toxicity_rates
 
 #: Where the public vocabularies lie; never copied into this repository.
 TOKENIZERS = os.environ.get("HELIXFRAME_TOKENIZERS", "/opt/tokenizers")
@@ -40,7 +40,22 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_report(p7_bins(spark, sf_dir), _read(spark, sf_dir, "pack_specs"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_bins, p7_fill)}
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document and whether it is held to be toxic."""
+    return toxic_documents(_read(spark, sf_dir, "documents"), "doc_id", "text", "lang", _read(spark, sf_dir, "review_labels"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexual passage."""
+    return p8_scores(spark, sf_dir).where("is_toxic").select("doc_id")
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of such documents per source."""
+    return toxicity_rates(p8_scores(spark, sf_dir), _read(spark, sf_dir, "documents"), "doc_id", "source")
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_bins, p7_fill, p8_found, p8_scores, p8_rates)}
 
 SQL = {
     "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
