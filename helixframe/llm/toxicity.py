@@ -26,7 +26,7 @@ from helixframe.session import shared_checkpoint
 
 #: At most so many labelled documents (the first by hash) make the dictionaries.
 FIT_DOCUMENTS = 4_500
-WINDOW, STRIDE = 80, 40
+WINDOW, STRIDE = 60, 30
 TOXIC_BYTES, ORDINARY_BYTES, HARD_WINDOWS = 1 << 17, 1 << 18, 1_500
 LEVEL = 3
 
