@@ -20,19 +20,21 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _chr_stats(gtf: DataFrame) -> DataFrame:
+    rows = gtf.select(spelled(F.col("chr")).alias("chr"), "row_id", "start_pos", "end_pos", (F.col("feat_level") == "exon").alias("is_exon"))
+    return ordered_key_stats(rows, "chr", "row_id", "start_pos", "end_pos", "is_exon")
+
+
 def p1_chr_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, span, exon sum and steps back for every chr key."""
-    gtf = _read(spark, sf_dir, "gtf").select(spelled(F.col("chr")).alias("chr"), "row_id", "start_pos", "end_pos", (F.col("feat_level") == "exon").alias("is_exon"))
-    return ordered_key_stats(gtf, "chr", "row_id", "start_pos", "end_pos", "is_exon").select(
-        F.col("key").alias("chr"), "n_rows", "span_start", "span_end", F.col("n_counted").alias("n_exons"), F.col("counted_sum").alias("exon_sum"), "n_back"
-    )
+    return _chr_stats(_read(spark, sf_dir, "gtf")).select(F.col("key").alias("chr"), "n_rows", "span_start", "span_end", F.col("n_counted").alias("n_exons"), F.col("counted_sum").alias("exon_sum"), "n_back")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """chr keys with at least DOMINANT_SHARE of the rows whose chr isn't null."""
-    stats = p1_chr_stats(spark, sf_dir).select("chr", "n_rows")
-    total = stats.agg(F.sum("n_rows").alias("total"))
-    return stats.join(F.broadcast(total), F.col("n_rows") >= DOMINANT_SHARE * F.col("total")).where(names_something(F.col("chr"))).select("chr")
+    gtf = _read(spark, sf_dir, "gtf")
+    total = gtf.agg(F.count("chr")).scalar()
+    return _chr_stats(gtf).where((F.col("n_rows") >= DOMINANT_SHARE * total) & names_something(F.col("key"))).select(F.col("key").alias("chr"))
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
