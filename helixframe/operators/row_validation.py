@@ -85,11 +85,11 @@ def clean_rows(df: DataFrame, line_id: str = "line_id", line: str = "line") -> D
     rows = _lines(df, line_id, line)
     kept = rows.join(failed, rows["line_id"].eqNullSafe(failed["_i"]) & (rows["line"] == failed["_l"]), "left_anti")
     cells = kept.select("line_id", F.split("line", "\t", -1).alias("c"))
-    pairs = attribute_pairs(F.col("c")[8])
+    pairs = attribute_pairs(F.get("c", F.lit(8)))
     typed = {"start_pos": lambda c: c.try_cast("long"), "end_pos": lambda c: c.try_cast("long"), "score": lambda c: c.try_cast("double")}
     return cells.select(
         "line_id",
-        *[typed.get(n, lambda c: c)(F.col("c")[i]).alias(n) for i, n in enumerate(COLUMNS)],
+        *[typed.get(n, lambda c: c)(F.get("c", F.lit(i))).alias(n) for i, n in enumerate(COLUMNS)],
         attribute_value(pairs, "gene_id").alias("gene_id"),
         attribute_value(pairs, "transcript_id").alias("transcript_id"),
     )

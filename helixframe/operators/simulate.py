@@ -1,0 +1,87 @@
+"""Non-coding sequences made from data: k-let shuffles and random intergenic places."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from helixframe.operators.range_join import range_join
+
+
+def shuffle_klets(seq: str, k: int, rng: random.Random) -> str:
+    """A random sequence with the same k-lets: a random Eulerian walk over (k-1)-lets.
+
+    A random last exit of every node towards the end keeps the walk from stranding.
+    """
+    if k < 2:
+        letters = list(seq)
+        rng.shuffle(letters)
+        return "".join(letters)
+    if len(seq) <= k:
+        return seq
+    m = k - 1
+    nodes = [seq[i : i + m] for i in range(len(seq) - m + 1)]
+    exits: dict[str, list[str]] = defaultdict(list)
+    for a, b in zip(nodes, nodes[1:], strict=False):
+        exits[a].append(b)
+    end, tree = nodes[-1], {}
+    settled = {end}
+    for node in exits:
+        walk = node
+        while walk not in settled:  # a loop-erased walk: the last choice at a node stands
+            tree[walk] = rng.choice(exits[walk])
+            walk = tree[walk]
+        walk = node
+        while walk not in settled:
+            settled.add(walk)
+            walk = tree[walk]
+    for node, out in exits.items():
+        last = tree.get(node) if node != end else None
+        if last is not None:
+            out.remove(last)
+        rng.shuffle(out)
+        if last is not None:
+            out.append(last)
+        out.reverse()
+    at, letters = nodes[0], [nodes[0]]
+    while exits.get(at):
+        at = exits[at].pop()
+        letters.append(at[-1])
+    return "".join(letters)
+
+
+def shuffled_sequences(sequences: DataFrame, k: int = 7, copies: int = 3, seed: int = 1) -> DataFrame:
+    """(name, copy, seq): `copies` shuffles of each sequence that keep its k-lets.
+
+    Shuffles equal to a sequence of the input are dropped. Repeatable: names and seed decide.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(n, c, s) for n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for c in range(1, copies + 1)]
+            made = [shuffle_klets(s, k, random.Random(hashlib.md5(f"{n}|{c}|{seed}".encode()).digest())) for n, c, s in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array(made, pa.string())], ["name", "copy", "seq"])
+
+    some = sequences.where("seq is not null").select(F.col("name").cast("string").alias("name"), "seq")
+    return some.mapInArrow(run, "name string, copy int, seq string").join(some.select("seq").distinct(), "seq", "left_anti").select("name", "copy", "seq")
+
+
+def intergenic_places(transcripts: DataFrame, genes: DataFrame, chromosomes: DataFrame, tries: int = 10, shrink: float = 0.75, least: int = 200, seed: int = 1) -> DataFrame:
+    """(transcript_id, chr, start, end, attempt): for each transcript the first of `tries` random places off all genes.
+
+    A place is `shrink` of the transcript's size, at least `least`, on its own chromosome
+    (chr, seq_len), decided by id, attempt and seed. Transcripts with no place left are left out.
+    """
+    wanted = transcripts.join(chromosomes.select("chr", "seq_len"), "chr").select("transcript_id", "chr", "seq_len", F.greatest(F.lit(least), F.floor(F.col("size") * shrink)).cast("long").alias("width"), F.explode(F.sequence(F.lit(1), F.lit(tries))).alias("attempt"))
+    dice = F.conv(F.substring(F.md5(F.concat_ws("|", "transcript_id", "attempt", F.lit(str(seed)))), 1, 12), 16, 10).cast("long")
+    placed = wanted.where("seq_len > width").withColumn("start", 1 + dice % (F.col("seq_len") - F.col("width"))).withColumn("end", F.col("start") + F.col("width") - 1).select("transcript_id", "attempt", "chr", "start", "end")
+    taken = range_join(placed, genes.select("chr", "start", "end"), ["chr"]).select("l.transcript_id", "l.attempt").distinct()
+    free = placed.join(taken, ["transcript_id", "attempt"], "left_anti")
+    first = Window.partitionBy("transcript_id").orderBy("attempt")
+    return free.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
