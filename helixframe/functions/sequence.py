@@ -36,15 +36,14 @@ def n_percent(seq: Column) -> Column:
 
 def translated(seq: Column) -> Column:
     """Amino acids of the whole codons; X for codons with other letters than ACGT."""
-    code = F.lit(STANDARD_CODE)
-    place = lambda i: F.call_function("instr", F.lit("TCAG"), F.substring(F.upper(seq), i, F.lit(1)))
+    place = lambda c, j: F.call_function("instr", F.lit("TCAG"), F.substring(c, j, 1))
 
-    def amino(i: Column) -> Column:
-        a, b, c = (place(i * 3 + j) for j in (1, 2, 3))
-        return F.when((a > 0) & (b > 0) & (c > 0), F.substring(code, a * 16 + b * 4 + c - 20, F.lit(1))).otherwise("X")
+    def amino(c: Column) -> Column:
+        known = (place(c, 1) > 0) & (place(c, 2) > 0) & (place(c, 3) > 0)
+        return F.when(known, F.substring(F.lit(STANDARD_CODE), place(c, 1) * 16 + place(c, 2) * 4 + place(c, 3) - 20, F.lit(1))).otherwise("X")
 
-    codons = F.transform(F.sequence(F.lit(0), F.floor(F.length(seq) / 3).cast("int") - 1), amino)
-    return F.when(F.length(seq) >= 3, F.array_join(codons, "")).when(seq.isNotNull(), "")
+    codons = F.filter(F.split(F.upper(seq), r"(?<=\G.{3})"), lambda c: F.length(c) == 3)
+    return F.array_join(F.transform(codons, amino), "")
 
 
 def has_start(seq: Column) -> Column:

@@ -106,10 +106,17 @@ def orf_coverage(found: DataFrame) -> DataFrame:
     return found.select("name", "rna_size", "orf_length", (F.col("orf_length") / F.col("rna_size")).alias("orf_cover"))
 
 
+#: Sequences are cut into runs of about so many k-mers first: taking letters from far inside a long string is slow.
+RUN = 960
+
+
 def kmers(sequences: DataFrame, k: int, step: int = 1, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, kmer): every k letters of seq, from the first on in steps; shorter sequences have none."""
-    at = F.sequence(F.lit(1), F.length("seq") - k + 1, F.lit(step))
-    return sequences.where(F.length("seq") >= k).select(*keys, "seq", F.explode(at).alias("at")).select(*keys, F.substring("seq", F.col("at"), F.lit(k)).alias("kmer"))
+    run = max(RUN // step, 1) * step
+    runs = sequences.where(F.length("seq") >= k).select(*keys, "seq", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - k) / run).cast("int"))).alias("run"))
+    pieces = runs.select(*keys, F.substring("seq", F.col("run") * run + 1, F.lit(run + k - 1)).alias("piece"))
+    at = F.sequence(F.lit(1), F.length("piece") - k + 1, F.lit(step))
+    return pieces.select(*keys, "piece", F.explode(at).alias("at")).select(*keys, F.substring("piece", F.col("at"), F.lit(k)).alias("kmer"))
 
 
 def kmer_counts(sequences: DataFrame, k: int, step: int = 1) -> DataFrame:

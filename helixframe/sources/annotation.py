@@ -26,14 +26,22 @@ def format_of(path: str) -> str:
     return SUFFIXES.get(path.rpartition(".")[2].lower(), "gtf")
 
 
-def _as_map(pairs: Column, cut: str) -> Column:
-    """`key value` strings as a map; of repeated keys the last one holds."""
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """`rows` with a column worked out once: later expressions and filters aren't folded into it."""
+    return rows.withColumn(name, F.explode(F.array(value)))
+
+
+def _with_attrs(rows: DataFrame, pairs: Column, cut: str) -> DataFrame:
+    """`rows` with attrs: `key value` strings as a map; of repeated keys the last one holds."""
+    named = F.create_map(*[F.lit(x) for kv in KEY_NAMES.items() for x in kv])
     key = lambda p: F.regexp_extract(p, rf"^([^{cut}]+)", 1)
-    name = lambda p: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in KEY_NAMES.items() for x in kv]), key(p)), key(p))
     value = lambda p: F.regexp_replace(F.regexp_replace(p, rf"^[^{cut}]+[{cut}]+", ""), r'^"|"$', "")
-    entries = F.transform(F.filter(pairs, lambda p: p.rlike(rf"^[^{cut}]+[{cut}]")), lambda p: F.struct(name(p).alias("key"), value(p).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"]))
-    return F.map_from_entries(last)
+    rows = _once(rows, "_pairs", F.filter(pairs, lambda p: p.rlike(rf"^[^{cut}]+[{cut}]")))
+    rows = _once(rows, "_keys", F.transform("_pairs", lambda p: F.coalesce(F.try_element_at(named, key(p)), key(p))))
+    rows = _once(rows, "_back", F.reverse("_keys"))
+    rows = _once(rows, "_entries", F.arrays_zip(F.col("_keys").alias("key"), F.transform("_pairs", value).alias("value")))
+    last = F.filter("_entries", lambda e, i: F.array_position("_back", e["key"]) == F.size("_back") - i)
+    return _once(rows, "attrs", F.map_from_entries(last)).drop("_pairs", "_keys", "_back", "_entries")
 
 
 def _feature_lines(lines: DataFrame) -> DataFrame:
@@ -52,10 +60,9 @@ def gtf_features(lines: DataFrame, levels: Sequence[str] = ("exon",), attributes
     named in `columns` has another value. A biotype in column 2 stands for the transcript's.
     """
     rows = _feature_lines(lines).where(F.col("feat_level").isin(*levels) & ~F.col("chr").rlike("(PATCH|TEST)$"))
-    attrs = _as_map(attribute_pairs(F.col("attributes")), r"\s")
-    typed = F.map_filter(attrs, lambda k, v: k != "transcript_biotype")
-    attrs = F.when(F.col("source").isin(*BIOTYPES), F.map_concat(typed, F.create_map(F.lit("transcript_biotype"), F.col("source")))).otherwise(attrs)
-    rows = rows.withColumn("attrs", attrs).drop("attributes")
+    rows = _with_attrs(rows, attribute_pairs(F.col("attributes")), r"\s").drop("attributes")
+    typed = F.map_filter("attrs", lambda k, v: k != "transcript_biotype")
+    rows = _once(rows, "attrs", F.when(F.col("source").isin(*BIOTYPES), F.map_concat(typed, F.create_map(F.lit("transcript_biotype"), F.col("source")))).otherwise(F.col("attrs")))
     for key, allowed in (attributes or {}).items():
         value = F.col("attrs")[key]
         rows = rows.where(value.isNull() | value.isin(*allowed))
@@ -70,7 +77,7 @@ def read_gtf(spark: SparkSession, path: str, **options: object) -> DataFrame:
 
 def gff3_features(lines: DataFrame) -> DataFrame:
     """Exons of GFF3 lines with the transcript in Parent and its gene from the mRNA rows."""
-    rows = _feature_lines(lines).withColumn("attrs", _as_map(F.transform(F.split("attributes", ";"), lambda p: F.trim(p)), "="))
+    rows = _with_attrs(_feature_lines(lines), F.transform(F.split("attributes", ";"), lambda p: F.trim(p)), "=")
     mrna = rows.where("feat_level = 'mRNA'").select(F.col("attrs")["ID"].alias("transcript_id"), F.col("attrs")["Parent"].alias("gene_id")).dropDuplicates(["transcript_id"])
     exons = rows.where("feat_level = 'exon'").withColumn("transcript_id", F.explode(F.split(F.col("attrs")["Parent"], ",")))
     return exons.join(mrna, "transcript_id", "left").withColumn("gene_id", F.coalesce("gene_id", "transcript_id")).drop("attributes")
