@@ -53,8 +53,9 @@ def failed_rules(df: DataFrame, line_id: str = "line_id", line: str = "line") ->
         F.try_element_at("cells", F.lit(3)).alias("level"),
         F.posexplode(F.concat(F.array(F.size("cells").cast("string")), "cells")).alias("col_no", "value"),
     )
-    value, level = F.col("value"), F.col("level")
-    pairs = attribute_pairs(value)
+    value, level, pairs = F.col("value"), F.col("level"), F.col("pairs")
+    # A generated column is worked out once, where an expression would be for each use of it.
+    cells = cells.withColumn("pairs", F.explode(F.array(F.when(F.col("col_no") == len(COLUMNS), attribute_pairs(value)))))
     has = lambda key: F.exists(pairs, lambda p: p.rlike(f"^{key}{_FILLED}"))
     passes = (
         F.when(F.col("rule") == 1, value == str(len(COLUMNS)))
