@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import reverse_complement
@@ -106,6 +106,35 @@ def orf_coverage(found: DataFrame) -> DataFrame:
     return found.select("name", "rna_size", "orf_length", (F.col("orf_length") / F.col("rna_size")).alias("orf_cover"))
 
 
+def chosen_orf(strict: DataFrame, relaxed: DataFrame, share: float = 0.75) -> DataFrame:
+    """The strict frame of each sequence if it has more than `share` of the relaxed one's length, else the relaxed one."""
+    cols = ["orf_kind", "orf_start", "orf_length", "orf_seq", "rna_size"]
+    both = relaxed.select("name", F.struct(*cols).alias("r")).join(strict.select("name", F.struct(*cols).alias("s")), "name", "full")
+    keep = F.col("r").isNull() | (F.col("s.orf_length") / F.col("r.orf_length") > share)
+    return both.select("name", F.when(F.coalesce(keep, F.lit(False)), F.col("s")).otherwise(F.col("r")).alias("o")).select("name", "o.*")
+
+
+def genomic_parts(exons: DataFrame, found: DataFrame) -> DataFrame:
+    """(transcript_id, chr, strand, feat_level, start, end): exons cut into five_utr, CDS and three_utr.
+
+    `found` has name (the transcript), orf_start and orf_length on the transcript's own sequence.
+    Exons of a transcript must not overlap; transcripts without a frame are left out.
+    """
+    length = F.col("end") - F.col("start") + 1
+    along = Window.partitionBy("transcript_id").orderBy(F.when(F.col("strand") == "-", -F.col("end")).otherwise(F.col("start"))).rowsBetween(Window.unboundedPreceding, -1)
+    placed = exons.select("transcript_id", "chr", "strand", "start", "end", (F.coalesce(F.sum(length).over(along), F.lit(0)) + 1).alias("first")).withColumn("last", F.col("first") + F.col("end") - F.col("start"))
+    frame = found.select(F.col("name").alias("transcript_id"), F.col("orf_start").cast("long").alias("b"), (F.col("orf_start") + F.col("orf_length") - 1).cast("long").alias("e"))
+    top = F.lit((1 << 62)).cast("long")
+    parts = F.array(*[F.struct(F.lit(n).alias("feat_level"), a.alias("a"), z.alias("z")) for n, a, z in (("five_utr", F.lit(1).cast("long"), F.col("b") - 1), ("CDS", F.col("b"), F.col("e")), ("three_utr", F.col("e") + 1, top))])
+    cut = placed.join(frame, "transcript_id").withColumn("p", F.explode(parts)).withColumn("a", F.greatest("first", "p.a")).withColumn("z", F.least("last", "p.z")).where("a <= z")
+    minus = F.col("strand") == "-"
+    return cut.select(
+        "transcript_id", "chr", "strand", "p.feat_level",
+        F.when(minus, F.col("end") - (F.col("z") - F.col("first"))).otherwise(F.col("start") + F.col("a") - F.col("first")).alias("start"),
+        F.when(minus, F.col("end") - (F.col("a") - F.col("first"))).otherwise(F.col("start") + F.col("z") - F.col("first")).alias("end"),
+    )
+
+
 #: Sequences are cut into runs of about so many k-mers first: taking letters from far inside a long string is slow.
 RUN = 960
 

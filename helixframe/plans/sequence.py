@@ -116,6 +116,21 @@ def orf_coverage(spark: SparkSession, d: str) -> DataFrame:
     return sq.orf_coverage(sq.orfs(_seqs(spark, d), 3)).withColumn("orf_cover", F.round("orf_cover", 6))
 
 
+@_query(f"""with strict as ({_orf_sql({0: _KINDS[0]})}), relaxed as ({_orf_sql({k: _KINDS[k] for k in (0, 1, 2)})}),
+  j as (select coalesce(r.name, s.name) as name, r.name is null or coalesce(s.orf_length / r.orf_length > 0.75, false) keep, r, s from relaxed r full join strict s on r.name = s.name)
+  select name, case when keep then s.orf_kind else r.orf_kind end orf_kind, case when keep then s.orf_start else r.orf_start end orf_start, case when keep then s.orf_length else r.orf_length end orf_length from j""")
+def orf_chosen(spark: SparkSession, d: str) -> DataFrame:
+    seqs = _seqs(spark, d)
+    return sq.chosen_orf(sq.orfs(seqs, 0), sq.orfs(seqs, 3)).select("name", "orf_kind", "orf_start", "orf_length")
+
+
+@_query()
+def orf_on_genome(spark: SparkSession, d: str) -> DataFrame:
+    """Coding and untranslated parts of the transcripts of `cdna_concat`, on their chromosomes."""
+    cdna = cdna_concat(spark, d).select(F.col("transcript_id").alias("name"), "seq")
+    return sq.genomic_parts(_features(spark, d), sq.orfs(cdna, 3))
+
+
 _CODONS = " ".join(f"when '{c}' then '{a}'" for c, a in seqf.codon_table().items())
 
 

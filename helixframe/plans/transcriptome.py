@@ -11,6 +11,7 @@ from helixframe.functions.ids import names_something, spelled
 from helixframe.functions.intervals import intersection
 from helixframe.operators import candidates as cand
 from helixframe.operators import classify, gene_level
+from helixframe.operators import feature_search as search
 from helixframe.operators import transcripts as tx
 from helixframe.operators.range_join import range_join
 from helixframe.operators.simulate import intergenic_places
@@ -396,3 +397,29 @@ def intergenic_simulation(spark: SparkSession, d: str) -> DataFrame:
     t = _tx(spark, d)
     chromosomes = spark.read.parquet(f"{d}/chromosomes.parquet").groupBy(spelled(F.col("chr")).alias("chr")).agg(F.max("seq_len").alias("seq_len"))
     return intergenic_places(_coding(t), tx.gene_rollup(t), chromosomes)
+
+
+# Search in the feature table -------------------------------------------------------------------
+
+
+@_query("""select row_id, 10 * len(regexp_extract_all(lower(note), 'low|spliced')) relevance from (select row_id, regexp_extract(attributes, 'note "([^"]*)"', 1) note from gtf)
+  where regexp_matches(lower(note), 'low|spliced')""")
+def note_search(spark: SparkSession, d: str) -> DataFrame:
+    notes = _gtf(spark, d).select("row_id", F.regexp_extract("attributes", 'note "([^"]*)"', 1).alias("note"))
+    return search.search_text(notes, "note", ["low", "spliced"]).select("row_id", "relevance")
+
+
+@_query("select feat_level, source, count(*) n from gtf group by all")
+def feature_types(spark: SparkSession, d: str) -> DataFrame:
+    return search.feature_types(_gtf(spark, d))
+
+
+@_query("""select row_id from gtf where lower(feat_level) in ('exon', 'cds') and lower(chr) = 'chr28' and start_pos <= 9000000 and end_pos >= 1000000 and regexp_matches(lower(transcript_id), '^mtr.*7$')""")
+def features_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = _gtf(spark, d).withColumnsRenamed({"start_pos": "start", "end_pos": "end"})
+    return search.find_features(rows, "mtr*7", ["exon", "CDS"], ("chr28", 1_000_000, 9_000_000)).select("row_id")
+
+
+@_query()
+def attribute_names(spark: SparkSession, d: str) -> DataFrame:
+    return search.attribute_names(gtf_features(_lines(spark, d), ("exon", "CDS", "transcript", "gene")))

@@ -127,6 +127,13 @@ def test_cdna_over_chunks(spark):
     assert got == {"p": genome[9:200] + genome[249:260], "m": back}
 
 
+def test_frames_on_the_genome(spark):
+    for strand, want in (("+", {("five_utr", 10, 12), ("CDS", 13, 14), ("CDS", 21, 24), ("three_utr", 25, 29)}), ("-", {("five_utr", 27, 29), ("CDS", 21, 26), ("three_utr", 10, 14)})):
+        ex = spark.createDataFrame([("t", "c", strand, 10, 14), ("t", "c", strand, 21, 29), ("u", "c", strand, 1, 5)], "transcript_id string, chr string, strand string, start long, end long")
+        found = spark.createDataFrame([("t", 4, 6)], "name string, orf_start int, orf_length int")
+        assert {(r.feat_level, r.start, r.end) for r in sequences.genomic_parts(ex, found).collect()} == want
+
+
 def test_kmers_across_runs(spark):
     rng = random.Random(1)
     s = "".join(rng.choice("ACGT") for _ in range(3001))
