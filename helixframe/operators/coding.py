@@ -38,15 +38,32 @@ def cv_folds(df: DataFrame, name: str, n_folds: int = 10, seed: int = 1) -> Data
     return ranked.withColumn("fold", F.ceil(F.col("shuffle_rank") * n_folds / F.col("class_size")).cast("int")).drop("_all", "shuffle_rank", "class_size")
 
 
-def cutoff_curve(scored: DataFrame, by: str = "fold") -> DataFrame:
+#: A curve's scores are summed in about this many blocks.
+CURVE_BLOCKS = 200
+
+
+def cutoff_curve(scored: DataFrame, by: str = "fold", blocks: int = CURVE_BLOCKS) -> DataFrame:
     """(by, cutoff, tp, fp, p, n, sensitivity, specificity) at every distinct score, taken as coding from it on.
 
     `scored` has `by`, score and truth (1 coding, 0 not); rows with a null in either are left out.
+    Quantiles of the distinct scores cut them into blocks of like size; sums run within a block
+    and start from the sum of those above, so no fold is sorted whole. The quantiles being
+    approximate changes the blocks' sizes alone.
     """
     counts = scored.where("score is not null and truth is not null").groupBy(by, F.col("score").alias("cutoff")).agg(F.count_if(F.col("truth") == 1).alias("c1"), F.count_if(F.col("truth") == 0).alias("c0"))
-    up = Window.partitionBy(by).orderBy(F.desc("cutoff")).rowsBetween(Window.unboundedPreceding, 0)
-    all_ = Window.partitionBy(by)
-    curve = counts.select(by, "cutoff", F.sum("c1").over(up).alias("tp"), F.sum("c0").over(up).alias("fp"), F.sum("c1").over(all_).alias("p"), F.sum("c0").over(all_).alias("n"))
+    edges = counts.agg(F.array_distinct(F.approx_percentile("cutoff", F.array(*[F.lit(i / blocks) for i in range(1, blocks)]), F.lit(blocks * 10)))).scalar()
+    parted = counts.withColumn("edges", edges).withColumn("block", F.size(F.filter("edges", lambda e: e <= F.col("cutoff")))).drop("edges")
+    sums = parted.groupBy(by, "block").agg(F.sum("c1").alias("b1"), F.sum("c0").alias("b0"))
+    above, whole = Window.partitionBy(by).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(by)
+    carried = sums.select(
+        F.col(by).alias("_by"), F.col("block").alias("_block"), *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("b1", "b0")],
+        F.sum("b1").over(whole).alias("p"), F.sum("b0").over(whole).alias("n"),
+    )
+    up = Window.partitionBy(by, "block").orderBy(F.desc("cutoff")).rowsBetween(Window.unboundedPreceding, 0)
+    within = parted.select(by, "block", "cutoff", F.sum("c1").over(up).alias("i1"), F.sum("c0").over(up).alias("i0"))
+    curve = within.join(carried, within[by].eqNullSafe(carried["_by"]) & (within["block"] == carried["_block"])).select(
+        within[by], "cutoff", (F.col("i1") + F.col("b1_above")).alias("tp"), (F.col("i0") + F.col("b0_above")).alias("fp"), "p", "n"
+    )
     return curve.withColumn("sensitivity", F.try_divide("tp", "p")).withColumn("specificity", 1 - F.try_divide("fp", "n"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions.ids import names_something, spelled
+from helixframe.operators.interval_merge import merge_intervals
+from helixframe.operators.key_balance import number_rows
 
 
 def usable_exons(gtf: DataFrame, level: str = "exon") -> DataFrame:
@@ -13,7 +15,9 @@ def usable_exons(gtf: DataFrame, level: str = "exon") -> DataFrame:
 
     `gtf` has the columns of the gtf table. Ids are trimmed and in upper case; features without
     a transcript, or with absent or reversed coordinates, are left out. A transcript has the
-    gene, chr, strand and biotype of its latest row by row_id, wherever its features lie.
+    gene, chr, strand and biotype of its latest row by row_id, wherever its features lie. Both
+    are found by aggregation before they meet, so that a transcript with very many rows is
+    never gathered.
     """
     tx = spelled(F.col("transcript_id"))
     kept = F.regexp_extract("attributes", r'transcript_(?:biotype|type) "?([^";]+)', 1)
@@ -27,9 +31,9 @@ def usable_exons(gtf: DataFrame, level: str = "exon") -> DataFrame:
         F.col("end_pos").alias("end"),
         "row_id",
     )
-    latest = Window.partitionBy("transcript_id")
-    fields = ["gene_id", "chr", "strand", "biotype"]
-    return rows.select("transcript_id", "start", "end", F.max_by(F.struct(*fields), "row_id").over(latest).alias("t")).groupBy("transcript_id", "start", "end").agg(F.first("t").alias("t")).select("transcript_id", "t.*", "start", "end")
+    fields = F.struct("gene_id", "chr", "strand", "biotype")
+    latest = rows.groupBy("transcript_id").agg(F.max_by(fields, "row_id").alias("t"))
+    return rows.select("transcript_id", "start", "end").distinct().join(latest, "transcript_id").select("transcript_id", "t.*", "start", "end")
 
 
 def transcript_rollup(exons: DataFrame) -> DataFrame:
@@ -45,29 +49,29 @@ def gene_rollup(transcripts: DataFrame) -> DataFrame:
     return transcripts.where("gene_id <> ''").groupBy("gene_id", "chr").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_transcripts"))
 
 
-def _in_order() -> Window:
-    return Window.partitionBy("transcript_id").orderBy("start", "end")
+def exon_ranks(exons: DataFrame) -> DataFrame:
+    """`exons` with their number in the direction of transcription, counted by blocks of positions."""
+    cols = exons.columns
+    minus = F.coalesce(F.col("strand") == "-", F.lit(False))
+    turned = exons.withColumn("_first", F.when(minus, -F.col("end")).otherwise(F.col("start"))).withColumn("_then", F.when(minus, -F.col("start")).otherwise(F.col("end")))
+    return number_rows(turned, ["transcript_id"], "_first", ["_then"], name="exon_number").select(*cols, F.col("exon_number").cast("int").alias("exon_number"))
 
 
-def exon_ranks(exons: DataFrame) -> DataFrame:
-    """`exons` with their number in the direction of transcription."""
-    up, down = _in_order(), Window.partitionBy("transcript_id").orderBy(F.desc("end"), F.desc("start"))
-    return exons.withColumn("exon_number", F.when(F.col("strand") == "-", F.row_number().over(down)).otherwise(F.row_number().over(up)))
+def _merged(exons: DataFrame, kind: str) -> DataFrame:
+    whose = F.struct("transcript_id", "chr", "strand")
+    parts = merge_intervals(exons.select(whose.alias("whose"), "start", "end"), "whose", "start", "end").where(F.col("kind") == kind)
+    return parts.select("entity.transcript_id", "entity.chr", "entity.strand", F.col("seg_start").alias("start"), F.col("seg_end").alias("end"))
 
 
 def introns(exons: DataFrame) -> DataFrame:
     """The stretches between exons of a transcript that no exon covers."""
-    reach = F.max("end").over(_in_order().rowsBetween(Window.unboundedPreceding, -1))
-    return exons.withColumn("reach", reach).where(F.col("start") > F.col("reach") + 1).select(
-        "transcript_id", "chr", "strand", (F.col("reach") + 1).alias("start"), (F.col("start") - 1).alias("end"), (F.col("start") - 1 - F.col("reach")).alias("size")
-    )
+    return _merged(exons, "gap").withColumn("size", F.col("end") - F.col("start") + 1)
 
 
 def merge_small_introns(exons: DataFrame, least: int = 5) -> DataFrame:
-    """Exons with those joined between which fewer than `least` positions lie."""
-    reach = F.max("end").over(_in_order().rowsBetween(Window.unboundedPreceding, -1))
-    islands = exons.withColumn("reach", reach).withColumn("new", F.coalesce((F.col("start") - F.col("reach") - 1 >= least).cast("int"), F.lit(1)))
-    return islands.withColumn("island", F.sum("new").over(_in_order())).groupBy("transcript_id", "chr", "strand", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+    """Exons with those joined between which fewer than `least` (1 or more) positions lie."""
+    more = max(1, least) - 1
+    return _merged(exons.withColumn("end", F.col("end") + more), "block").withColumn("end", F.col("end") - more)
 
 
 def promoters(transcripts: DataFrame, width: int = 500) -> DataFrame:
@@ -91,14 +95,24 @@ def exons_between(transcripts: DataFrame, least: int = 1, most: int = 1) -> Data
 
 
 def _structure(features: DataFrame) -> DataFrame:
-    return features.groupBy("transcript_id", "chr", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("parts"))
+    """A transcript's parts as count, span and two 64-bit sums, whatever their number and order."""
+    part = lambda salt: F.bit_xor(F.xxhash64("start", "end", F.lit(salt)))
+    marks = [F.count("*"), F.min("start"), F.max("end"), part("a"), part("b")]
+    return features.select("transcript_id", "chr", "strand", "start", "end").distinct().groupBy("transcript_id", "chr", "strand").agg(F.struct(*[m.alias(f"m{i}") for i, m in enumerate(marks)]).alias("parts"))
 
 
 def same_structure(features: DataFrame) -> DataFrame:
     """(transcript_id, kept_id) of transcripts whose exons (or introns) another one has as well:
-    of those with equal chr, strand and parts the one with the smallest id is kept."""
-    alike = Window.partitionBy("chr", "strand", "parts")
-    return _structure(features).withColumn("kept_id", F.min("transcript_id").over(alike)).where("transcript_id <> kept_id").select("transcript_id", "kept_id")
+    of those with equal chr, strand and parts the one with the smallest id is kept.
+
+    Parts are compared by number, span and 128 bits of hashes, so that neither a transcript
+    with very many parts nor a large group of equal ones is gathered. Equal parts of one
+    transcript count once.
+    """
+    marked = _structure(features)
+    alike = ["chr", "strand", "parts"]
+    kept = marked.groupBy(*alike).agg(F.min("transcript_id").alias("kept_id"))
+    return marked.join(kept, alike).where("transcript_id <> kept_id").select("transcript_id", "kept_id")
 
 
 def sample_transcripts(transcripts: DataFrame, n: int, seed: int = 1) -> DataFrame:

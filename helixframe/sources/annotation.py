@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.operators.key_balance import number_rows
 from helixframe.operators.row_validation import COLUMNS, attribute_pairs
 
 #: Biotypes that may stand in column 2 and then hold for the transcript.
@@ -76,9 +77,9 @@ def read_gtf(spark: SparkSession, path: str, **options: object) -> DataFrame:
 
 
 def gff3_features(lines: DataFrame) -> DataFrame:
-    """Exons of GFF3 lines with the transcript in Parent and its gene from the mRNA rows."""
+    """Exons of GFF3 lines with the transcript in Parent and its gene from the mRNA rows, the smallest if these differ."""
     rows = _with_attrs(_feature_lines(lines), F.transform(F.split("attributes", ";"), lambda p: F.trim(p)), "=")
-    mrna = rows.where("feat_level = 'mRNA'").select(F.col("attrs")["ID"].alias("transcript_id"), F.col("attrs")["Parent"].alias("gene_id")).dropDuplicates(["transcript_id"])
+    mrna = rows.where("feat_level = 'mRNA'").select(F.col("attrs")["ID"].alias("transcript_id"), F.col("attrs")["Parent"].alias("gene_id")).groupBy("transcript_id").agg(F.min("gene_id").alias("gene_id"))
     exons = rows.where("feat_level = 'exon'").withColumn("transcript_id", F.explode(F.split(F.col("attrs")["Parent"], ",")))
     return exons.join(mrna, "transcript_id", "left").withColumn("gene_id", F.coalesce("gene_id", "transcript_id")).drop("attributes")
 
@@ -90,13 +91,13 @@ def read_gff3(spark: SparkSession, path: str) -> DataFrame:
 def bed_features(lines: DataFrame) -> DataFrame:
     """Exons (transcript_id, chr, strand, score, start, end), 1-based and closed, of BED6 or BED12 lines.
 
-    Lines of a repeated name but the first, by place, get the suffix _dup1, _dup2, ...
+    Lines of a repeated name but the first, by position and then chr, get the suffix _dup1, _dup2, ...
     """
     cells = lines.where((F.trim("value") != "") & ~F.col("value").rlike("^(#|track|browser)")).select(F.split(F.regexp_replace("value", r"\r+$", ""), "\t").alias("c")).where(F.size("c") >= 6)
     number = lambda i: F.get("c", F.lit(i)).try_cast("long")
     rows = cells.select(F.get("c", F.lit(0)).alias("chr"), number(1).alias("from"), number(2).alias("to"), F.get("c", F.lit(3)).alias("name"), F.get("c", F.lit(4)).alias("score"), F.get("c", F.lit(5)).alias("strand"), F.try_element_at("c", F.lit(11)).alias("sizes"), F.try_element_at("c", F.lit(12)).alias("starts"))
-    again = F.row_number().over(Window.partitionBy("name").orderBy("chr", "from", "to", "strand")) - 1
-    rows = rows.withColumn("transcript_id", F.concat("name", F.when(again > 0, F.concat(F.lit("_dup"), again)).otherwise("")))
+    again = F.col("_nth") - 1
+    rows = number_rows(rows, ["name"], "from", ["chr", "to", "strand"], name="_nth").withColumn("transcript_id", F.concat("name", F.when(again > 0, F.concat(F.lit("_dup"), again)).otherwise("")))
     numbers = lambda c: F.transform(F.filter(F.split(c, ","), lambda x: x != ""), lambda x: x.cast("long"))
     blocks = F.when(F.col("starts").isNotNull(), F.arrays_zip(numbers("starts").alias("off"), numbers("sizes").alias("size"))).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("off"), (F.col("to") - F.col("from")).alias("size"))))
     exons = rows.withColumn("b", F.explode(blocks))

@@ -82,6 +82,37 @@ def test_structure_windows(spark):
     assert [tuple(r) for r in transcripts.same_structure(ex).collect()] == [("b", "a")]
 
 
+def test_transcript_with_most_rows(spark):
+    rng = random.Random(4)
+    rows = [("hot" if i % 3 else f"t{i % 40}", "-" if i % 2 else "+", s, s + rng.randint(0, 90)) for i, s in ((i, rng.randint(1, 300_000)) for i in range(1500))]
+    gtf = spark.createDataFrame([(i, "exon", *r) for i, r in enumerate(rows)], "row_id long, feat_level string, transcript_id string, strand string, start_pos long, end_pos long").selectExpr("*", "'c' as chr", "'g' as gene_id", "'' as attributes")
+    ex = transcripts.usable_exons(gtf)
+    mine = {}
+    for t, _, s, e in rows:
+        mine.setdefault(t.upper(), set()).add((s, e))
+    strands = {t.upper(): d for t, d, _, _ in rows}
+    assert {(r.transcript_id, r.start, r.end, r.strand) for r in ex.collect()} == {(t, s, e, strands[t]) for t, xs in mine.items() for s, e in xs}
+    ranks, gaps, wide = {}, set(), set()
+    for t, xs in mine.items():
+        order = sorted(xs, key=lambda x: (-x[1], -x[0])) if strands[t] == "-" else sorted(xs)
+        ranks.update({(t, *x): n for n, x in enumerate(order, 1)})
+        reach = begun = None
+        for s, e in sorted(xs):
+            if reach is not None and s > reach + 1:
+                gaps.add((t, reach + 1, s - 1, s - reach - 1))
+            if reach is None or s - reach - 1 >= 50:
+                wide |= {(t, begun, reach)} if begun else set()
+                begun = s
+            reach = max(reach or 0, e)
+        wide.add((t, begun, reach))
+    assert {(r.transcript_id, r.start, r.end): r.exon_number for r in transcripts.exon_ranks(ex).collect()} == ranks
+    assert {(r.transcript_id, r.start, r.end, r.size) for r in transcripts.introns(ex).collect()} == gaps
+    assert {(r.transcript_id, r.start, r.end) for r in transcripts.merge_small_introns(ex, 50).collect()} == wide
+    copy = ex.where("transcript_id = 'HOT'").withColumn("transcript_id", F.lit("AGAIN")).union(ex)
+    assert [tuple(r) for r in transcripts.same_structure(copy.union(copy)).collect()] == [("HOT", "AGAIN")]
+    assert all(f(ex.limit(0)).count() == 0 for f in (transcripts.introns, transcripts.merge_small_introns, transcripts.exon_ranks, transcripts.same_structure))
+
+
 def test_sequence_functions(spark):
     df = spark.createDataFrame([("ATGGCNTAA",), ("",), (None,), ("AT",)], "s string")
     s = F.col("s")
@@ -169,6 +200,21 @@ def test_cutoffs_and_metrics(spark):
     assert {r.label: r["count"] for r in two} == {1: 2, 0: 2, -1: 2, None: 1}
 
 
+def test_cutoff_curve_in_blocks(spark):
+    rng = random.Random(6)
+    rows = [(i % 3 or None, rng.choice([0.5, rng.random(), rng.random()]), rng.choice([0, 1, 1, None])) for i in range(900)]
+    df = spark.createDataFrame(rows, "fold int, score double, truth int")
+    want = {}
+    for fold in (1, 2, None):
+        mine = [(s, t) for f, s, t in rows if f == fold and t is not None]
+        for cut in {s for s, _ in mine}:
+            want[fold, cut] = (sum(s >= cut and t == 1 for s, t in mine), sum(s >= cut and t == 0 for s, t in mine), sum(t for _, t in mine), sum(1 - t for _, t in mine))
+    for blocks in (2, 16, 200):
+        got = {(r.fold, r.cutoff): (r.tp, r.fp, r.p, r.n) for r in coding.cutoff_curve(df, blocks=blocks).collect()}
+        assert got == want
+    assert coding.cutoff_curve(df.limit(0)).count() == 0
+
+
 def test_gene_classes(spark):
     rows = [("g", "t1", "lincConv", "P", 10), ("g", "t2", "lincSSdw", "P", 5), ("g", "t3", "lincSSup", "Q", 9), ("h", "t4", None, None, None), ("i", "t5", "lncgASexNest", "P", 0)]
     got = {r.gene_id: (r["class"], r.class_type, r.partner_gene) for r in gene_level.gene_classes(spark.createDataFrame(rows, "gene_id string, transcript_id string, class string, partner_gene string, distance long")).collect()}
