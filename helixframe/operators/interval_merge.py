@@ -12,39 +12,50 @@ from pyspark.sql import functions as F
 
 SHARD_WIDTH = 1 << 16
 MAX_PIECES = 4096
+#: So many entities with very long intervals have shards of their own width; their list is broadcast.
+OWN_WIDTHS = 512
 #: Coordinates beyond this leave no room for sums.
 LIMIT = 1 << 61
 
 
-def merge_intervals(df: DataFrame, entity: str, start: str, end: str, shard_width: int = SHARD_WIDTH, max_pieces: int = MAX_PIECES) -> DataFrame:
+def merge_intervals(df: DataFrame, entity: str, start: str, end: str, shard_width: int = SHARD_WIDTH, max_pieces: int = MAX_PIECES, own_widths: int = OWN_WIDTHS) -> DataFrame:
     """(entity, kind, seg_start, seg_end): kind is block or gap; intervals are closed.
 
     Intervals that follow each other directly form one block. Rows with a null entity or
     coordinate, with start > end, or beyond 2**61, are left out; repeated, nested and equal intervals change
-    nothing. Shards are widened where the longest interval would fall into more than
-    `max_pieces` of them. An empty table gives no rows.
+    nothing. Where an entity's longest interval would fall into more than `max_pieces` shards, its
+    shards are widened; of such entities those beyond the `own_widths` longest widen the
+    shards of all. An empty table gives no rows.
     """
     rows = df.where(F.col(entity).isNotNull() & (F.col(start) <= F.col(end))).select(
         F.col(entity).alias("entity"), F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e")
     ).where((F.col("s") > -LIMIT) & (F.col("e") < LIMIT))
-    longest = rows.agg(F.max(F.col("e") - F.col("s"))).first()[0] or 0
-    width = max(shard_width, int(longest) // max_pieces + 1)
-    w = F.lit(width).cast("long")
-    shard_of = lambda c: F.expr(f"({c} - pmod({c}, {width}L)) div {width}L")
-    clipped = rows.select("entity", "s", "e", F.explode(F.sequence(shard_of("s"), shard_of("e"))).alias("shard")).select(
-        "entity", "shard", F.greatest("s", F.col("shard") * w).alias("s"), F.least("e", F.col("shard") * w + (w - 1)).alias("e")
+    length = F.col("e") - F.col("s")
+    # At most own_widths + 1 rows, and none where no interval is very long.
+    long = rows.where(length >= shard_width * max_pieces).groupBy("entity").agg(F.max(length).alias("longest")).orderBy(F.desc("longest"), "entity").limit(own_widths + 1)
+    longest = [r.longest for r in long.select("longest").collect()]
+    common = longest[own_widths] // max_pieces + 1 if len(longest) > own_widths else shard_width
+    by, w = ["entity", "shard"], F.lit(common).cast("long")
+    if longest:
+        own = long.select("entity", F.greatest(F.lit(common), F.expr(f"longest div {max_pieces}L + 1")).alias("w"))
+        rows = rows.join(F.broadcast(own), "entity", "left").withColumn("w", F.coalesce("w", w))
+        by, w = [*by, "w"], F.col("w")
+    rows = rows.withColumn("w", w)
+    shard_of = lambda c: F.expr(f"({c} - pmod({c}, w)) div w")
+    clipped = rows.select("entity", "s", "e", "w", F.explode(F.sequence(shard_of("s"), shard_of("e"))).alias("shard")).select(
+        *by, F.greatest("s", F.col("shard") * w).alias("s"), F.least("e", F.col("shard") * w + (w - 1)).alias("e")
     )
-    # At most `width` starts are left in a shard, however many rows it holds.
-    starts = clipped.groupBy("entity", "shard", "s").agg(F.max("e").alias("e"))
-    local = Window.partitionBy("entity", "shard").orderBy("s")
+    # At most one start for each position is left in a shard, however many rows it holds.
+    starts = clipped.groupBy(*by, "s").agg(F.max("e").alias("e"))
+    local = Window.partitionBy(*by).orderBy("s")
     reach = F.max("e").over(local.rowsBetween(Window.unboundedPreceding, -1))
     islands = (
         starts.withColumn("new", F.coalesce((F.col("s") > reach + 1).cast("int"), F.lit(1)))
         .withColumn("island", F.sum("new").over(local))
-        .groupBy("entity", "shard", "island")
+        .groupBy(*by, "island")
         .agg(F.min("s").alias("s"), F.max("e").alias("e"))
     )
-    whole = Window.partitionBy("entity", "shard")
+    whole = Window.partitionBy(*by)
     seg = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("s"), b.alias("e"))
     s, e, edge = F.col("s"), F.col("e"), (F.col("s") == F.col("shard") * w) | (F.col("e") == F.col("shard") * w + (w - 1))
     found = islands.withColumn("next", F.lead("s").over(local)).withColumn("far", F.max("e").over(whole)).withColumn("first", F.min("s").over(whole) == s)

@@ -180,5 +180,7 @@ def test_merge_intervals(spark):
     small = [d for d in data if d[0] != "far"]
     got = merge_intervals(spark.createDataFrame(small, df.schema), "entity", "s", "e", shard_width=16)
     assert rows(got) == sorted((w for w in want if w[0] != "far"), key=repr)
-    assert rows(merge_intervals(df, "entity", "s", "e", max_pieces=64)) == sorted(want, key=repr)
+    for own in (0, 1, 512):
+        assert rows(merge_intervals(df, "entity", "s", "e", max_pieces=64, own_widths=own)) == sorted(want, key=repr)
+    assert rows(merge_intervals(df.where("entity <> 'far'"), "entity", "s", "e", shard_width=4, max_pieces=16, own_widths=1)) == sorted((w for w in want if w[0] != "far"), key=repr)
     assert merge_intervals(df.limit(0), "entity", "s", "e").count() == 0
