@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.operators.key_balance import number_rows
+from helixframe.session import shared_checkpoint
 
 _BITS = 48
 
@@ -116,23 +119,58 @@ def routed(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return rows.join(labels.select(name, "label"), name, "left").withColumn("class", c).drop("label")
 
 
-def forest_predictions(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1) -> DataFrame:
-    """`test` with score: the probability of label 1 by a random forest on `train`.
-
-    Classes weigh the same, however many rows they have. Rows with a null feature aren't used
-    to train and have a null score.
-    """
+def fitted_forest(train: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1):
+    """A random forest for label 1 against 0. Both weigh the same, however many rows they have;
+    rows with a null feature or another label aren't used."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
 
     assembled = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
     usable = train.where(F.col(label).isin(0, 1)).select(*features, F.col(label).cast("double").alias("_label"))
     sizes = usable.groupBy("_label").count()
     weighted = assembled.transform(usable.join(F.broadcast(sizes), "_label").withColumn("_weight", 1 / F.col("count")))
-    model = RandomForestClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", numTrees=trees, featureSubsetStrategy="sqrt", seed=seed).fit(weighted)
+    return RandomForestClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", numTrees=trees, featureSubsetStrategy="sqrt", seed=seed).fit(weighted)
+
+
+def _forest_scores(model, test: DataFrame, features: list[str]) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
     scored = model.transform(VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep").transform(test))
     whole = F.lit(True)
     for f in features:
         whole = whole & F.col(f).isNotNull()
     return scored.withColumn("score", F.when(whole, vector_to_array("probability")[1])).drop("_features", "rawPrediction", "probability", "prediction")
+
+
+def forest_predictions(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1) -> DataFrame:
+    """`test` with score: the probability of label 1 by a random forest on `train` (see `fitted_forest`).
+
+    Rows with a null feature have a null score.
+    """
+    return _forest_scores(fitted_forest(train, features, label, trees, seed), test, features)
+
+
+def cross_validated(df: DataFrame, name: str, features: list[str], label: str, n_folds: int = 10, trees: int = 100, seed: int = 1) -> DataFrame:
+    """`df` with fold and score, each row scored by a forest on the other folds.
+
+    With `cutoff_curve`, `balanced_cutoffs` and `confusion` this gives the cutoff and the
+    metrics of each fold. Rows with a null feature have a null score. If the other folds lack
+    one of the labels the fold's scores are null.
+    """
+    folded = shared_checkpoint(cv_folds(df, name, n_folds, seed))
+    usable = folded.dropna(subset=features).where(F.col(label).isin(0, 1))
+    held = {(r.fold, r[label]): r["count"] for r in usable.groupBy("fold", label).count().collect()}  # two rows a fold
+    totals = [sum(n for (_, t), n in held.items() if t == side) for side in (0, 1)]
+    parts = []
+    for fold in range(1, n_folds + 1):
+        rest, mine = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        known = all(totals[side] > held.get((fold, side), 0) for side in (0, 1))
+        parts.append(forest_predictions(rest, mine, features, label, trees, seed) if known else mine.withColumn("score", F.lit(None).cast("double")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def feature_importances(train: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1) -> DataFrame:
+    """(feature, importance) in a forest on `train`; importances sum to 1."""
+    model = fitted_forest(train, features, label, trees, seed)
+    return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, model.featureImportances.toArray(), strict=True)], "feature string, importance double")

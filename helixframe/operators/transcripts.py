@@ -44,6 +44,16 @@ def transcript_rollup(exons: DataFrame) -> DataFrame:
     )
 
 
+def with_transcript_rows(features: DataFrame) -> DataFrame:
+    """`features` and, for each transcript, a row of feat_level transcript over their span.
+
+    Of the other columns the row has transcript_id, gene_id, chr and strand; the rest is null.
+    """
+    keys = ["transcript_id", "gene_id", "chr", "strand"]
+    spans = features.groupBy(*keys).agg(F.min("start").alias("start"), F.max("end").alias("end")).withColumn("feat_level", F.lit("transcript"))
+    return features.unionByName(spans, allowMissingColumns=True)
+
+
 def gene_rollup(transcripts: DataFrame) -> DataFrame:
     """One row per gene and chr: span and number of transcripts."""
     return transcripts.where("gene_id <> ''").groupBy("gene_id", "chr").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_transcripts"))
@@ -86,6 +96,12 @@ def longest_per_gene(transcripts: DataFrame) -> DataFrame:
     return transcripts.where("gene_id <> ''").groupBy("gene_id").agg(best.alias("b")).select("gene_id", "b.*")
 
 
+def random_per_gene(transcripts: DataFrame, seed: int = 1) -> DataFrame:
+    """One transcript of each gene, chosen by a hash of id and seed alone."""
+    dice = F.md5(F.concat_ws("|", "transcript_id", F.lit(str(seed))))
+    return transcripts.where("gene_id <> ''").groupBy("gene_id").agg(F.min_by("transcript_id", F.struct(dice, "transcript_id")).alias("transcript_id"))
+
+
 def size_between(transcripts: DataFrame, least: int = 200, most: int = 100_000) -> DataFrame:
     return transcripts.where(F.col("size").between(least, most))
 

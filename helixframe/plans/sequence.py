@@ -15,6 +15,7 @@ from helixframe.functions.ids import spelled
 from helixframe.operators import coding
 from helixframe.operators import sequences as sq
 from helixframe.operators.simulate import shuffled_sequences
+from helixframe.sources.fasta import fasta_record
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -285,8 +286,40 @@ def label_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/rf_result.parquet").groupBy("label").agg(F.count("*").alias("n"))
 
 
+FEATURES = ["kmerscore_3mer", "kmerscore_6mer", "kmerscore_9mer", "orf_cover", "rna_size"]
+
+
 @_query()
 def rf_predict(spark: SparkSession, d: str) -> DataFrame:
     rf = spark.read.parquet(f"{d}/rf_result.parquet")
-    features = ["kmerscore_3mer", "kmerscore_6mer", "kmerscore_9mer", "orf_cover", "rna_size"]
-    return coding.forest_predictions(rf, rf, features, "label", trees=50).select("tx_name", F.round("score", 6).alias("score"))
+    return coding.forest_predictions(rf, rf, FEATURES, "label", trees=50).select("tx_name", F.round("score", 6).alias("score"))
+
+
+def _matrix(spark: SparkSession, d: str) -> DataFrame:
+    """(name, features, truth): as `_scored`, with the features a forest learns from."""
+    rf = spark.read.parquet(f"{d}/rf_result.parquet").groupBy(spelled(F.col("tx_name")).alias("name")).agg(*[F.max(c).alias(c) for c in FEATURES])
+    return rf.join(_scored(spark, d).select("name", "truth"), "name")
+
+
+@_query()
+def rf_cross_validation(spark: SparkSession, d: str) -> DataFrame:
+    """Cutoff and metrics of each fold, judged by forests on the other folds."""
+    scored = coding.cross_validated(_matrix(spark, d), "name", FEATURES, "truth", trees=20)
+    cutoffs = coding.balanced_cutoffs(coding.cutoff_curve(scored.select("fold", "score", "truth")))
+    return coding.confusion(coding.labelled(scored.join(cutoffs, "fold"), F.col("cutoff")), ["fold", "cutoff"])
+
+
+@_query()
+def rf_importances(spark: SparkSession, d: str) -> DataFrame:
+    return coding.feature_importances(_matrix(spark, d), FEATURES, "truth", trees=20)
+
+
+@_query(f"with {SEQS} select name, length(seq) n_letters from seqs")
+def sequence_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return _seqs(spark, d).select("name", F.length("seq").cast("long").alias("n_letters"))
+
+
+@_query(f"with {SEQS} select name, chr(62) || name || chr(10) || seq as record from seqs")
+def fasta_records(spark: SparkSession, d: str) -> DataFrame:
+    rows = _seqs(spark, d)
+    return rows.select("name", fasta_record().alias("record"))

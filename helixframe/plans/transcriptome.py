@@ -106,6 +106,11 @@ def longest_tx_per_gene(spark: SparkSession, d: str) -> DataFrame:
     return tx.longest_per_gene(_tx(spark, d))
 
 
+@_query(f"with {EXONS} select gene_id, arg_min(transcript_id, md5(transcript_id || '|1') || transcript_id) transcript_id from tx where gene_id <> '' group by 1")
+def random_tx_per_gene(spark: SparkSession, d: str) -> DataFrame:
+    return tx.random_per_gene(_tx(spark, d))
+
+
 @_query(f"with {EXONS} select transcript_id, size from tx where size between 200 and 100000")
 def tx_size_between(spark: SparkSession, d: str) -> DataFrame:
     return tx.size_between(_tx(spark, d)).select("transcript_id", "size")
@@ -392,6 +397,11 @@ def gtf_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return kept.agg(F.count("*").alias("n_features"), F.max(changed.agg(F.count("*")).scalar()).alias("n_changed"))
 
 
+@_query(f"""with {EXONS} select transcript_id, 'transcript' feat_level, s as "start", e as "end" from tx union all select transcript_id, 'exon', s, e from exons""")
+def transcript_lines(spark: SparkSession, d: str) -> DataFrame:
+    return tx.with_transcript_rows(_exons(spark, d).withColumn("feat_level", F.lit("exon"))).select("transcript_id", "feat_level", "start", "end")
+
+
 @_query()
 def intergenic_simulation(spark: SparkSession, d: str) -> DataFrame:
     t = _tx(spark, d)

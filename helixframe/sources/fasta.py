@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,8 +13,13 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.regexp_extract(header, r"^\s*(\S+)", 1).alias("name"), F.regexp_replace(F.substring(F.col("value"), F.length(header) + 1, F.length("value")), r"\s", "").alias("seq"))
 
 
+def fasta_record() -> Column:
+    """Header and letters of a row with name and seq."""
+    return F.concat(F.lit(">"), "name", F.lit("\n"), "seq")
+
+
 def fasta_text(sequences: DataFrame) -> DataFrame:
-    return sequences.select(F.concat(F.lit(">"), "name", F.lit("\n"), "seq").alias("value"))
+    return sequences.select(fasta_record().alias("value"))
 
 
 def write_fasta(sequences: DataFrame, path: str) -> None:

@@ -215,6 +215,29 @@ def test_cutoff_curve_in_blocks(spark):
     assert coding.cutoff_curve(df.limit(0)).count() == 0
 
 
+def test_cross_validation(spark):
+    rng = random.Random(9)
+    rows = [(f"n{i}", rng.gauss(3 * (i % 2), 1) if i % 17 else None, rng.random(), i % 2) for i in range(240)]
+    df = spark.createDataFrame(rows, "name string, a double, b double, truth int")
+    scored = coding.cross_validated(df, "name", ["a", "b"], "truth", n_folds=3, trees=5).cache()
+    assert scored.count() == 240 and scored.where("score is null").count() == sum(r[1] is None for r in rows)
+    cutoffs = coding.balanced_cutoffs(coding.cutoff_curve(scored))
+    found = coding.confusion(coding.labelled(scored.join(cutoffs, "fold"), F.col("cutoff")), ["fold"]).collect()
+    assert len(found) == 3 and all(r.acc > 0.8 for r in found)
+    weight = {r.feature: r.importance for r in coding.feature_importances(df, ["a", "b"], "truth", trees=5).collect()}
+    assert weight["a"] > 0.6 and abs(sum(weight.values()) - 1) < 1e-9
+    one = coding.cross_validated(df.where("truth = 1"), "name", ["a", "b"], "truth", n_folds=2, trees=2)
+    assert one.where("score is not null").count() == 0 and one.count() == 120
+
+
+def test_transcript_rows_and_choice(spark):
+    ex = _exons(spark, [("a", "-", 5, 10), ("a", "-", 13, 20), ("b", "+", 1, 2)]).withColumn("feat_level", F.lit("exon"))
+    made = transcripts.with_transcript_rows(ex).where("feat_level = 'transcript'").collect()
+    assert {(r.transcript_id, r.start, r.end, r.biotype) for r in made} == {("a", 5, 20, None), ("b", 1, 2, None)}
+    pick = transcripts.random_per_gene(transcripts.transcript_rollup(ex).withColumn("gene_id", F.lit("g")), 3).collect()
+    assert len(pick) == 1 and pick == transcripts.random_per_gene(transcripts.transcript_rollup(ex).withColumn("gene_id", F.lit("g")), 3).collect()
+
+
 def test_gene_classes(spark):
     rows = [("g", "t1", "lincConv", "P", 10), ("g", "t2", "lincSSdw", "P", 5), ("g", "t3", "lincSSup", "Q", 9), ("h", "t4", None, None, None), ("i", "t5", "lncgASexNest", "P", 0)]
     got = {r.gene_id: (r["class"], r.class_type, r.partner_gene) for r in gene_level.gene_classes(spark.createDataFrame(rows, "gene_id string, transcript_id string, class string, partner_gene string, distance long")).collect()}
