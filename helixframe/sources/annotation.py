@@ -109,9 +109,13 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gtf_line() -> Column:
-    """The GTF line of a feature with attrs; gene_id and transcript_id first, others by key."""
+    """The GTF line of a feature with attrs; gene_id and transcript_id first, others by key.
+
+    Null ids are left out. A value is written between double quotes as it is: one that holds
+    an odd number of them can't be read again as it was.
+    """
     pair = lambda k, v: F.concat(k, F.lit(' "'), v, F.lit('";'))
-    ids = F.array(*[pair(F.lit(k), F.coalesce(F.col(k), F.lit(""))) for k in ("gene_id", "transcript_id")])
+    ids = F.array_compact(F.array(*[pair(F.lit(k), F.col(k)) for k in ("gene_id", "transcript_id")]))
     rest = F.filter(F.array_sort(F.map_entries("attrs")), lambda e: ~e["key"].isin("gene_id", "transcript_id"))
     text = F.array_join(F.concat(ids, F.transform(rest, lambda e: pair(e["key"], e["value"]))), " ")
     return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in ("chr", "source", "feat_level", "start", "end", "score", "strand", "frame")], text)

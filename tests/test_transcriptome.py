@@ -8,6 +8,7 @@ from helixframe.functions import intervals as iv
 from helixframe.functions import sequence as seqf
 from helixframe.operators import candidates, classify, coding, gene_level, sequences, simulate, transcripts
 from helixframe.operators.range_join import range_join
+from helixframe.plans.transcriptome import gtf_roundtrip
 from helixframe.sources import annotation, fasta
 
 EXON = "transcript_id string, gene_id string, chr string, strand string, biotype string, start long, end long"
@@ -269,6 +270,17 @@ def test_gtf_gff3_bed_fasta_files(spark, tmp_path):
     assert annotation.format_of("x.gff2") == "gtf" and annotation.format_of("x.fa") == "fasta"
 
 
+def test_roundtrip_counts_every_feature(spark, tmp_path):
+    attrs = ['gene_id "g"; transcript_id "t"; tag "x; y";', 'gene_id "g"; tag "x";', 'transcript_id "t";', 'gene_id ""; transcript_id "t";', "", 'gene_id "g"; transcript_id "t"; note "a "b" c";', 'gene_id "g"; transcript_id "t"; note a"b"; tag "x";']
+    lines = [(f"c\ts\texon\t{i}\t9\t.\t+\t.\t{a}",) for i, a in enumerate([*attrs, attrs[1]])]
+    df = spark.createDataFrame(lines, "line string")
+    df.write.parquet(f"{tmp_path}/gtf_lines.parquet")
+    assert tuple(gtf_roundtrip(spark, str(tmp_path)).first()) == (8, 1)
+    again = annotation.gtf_features(annotation.gtf_text(annotation.gtf_features(df.selectExpr("line as value")))).orderBy("start").collect()
+    assert [(r.gene_id, r.transcript_id) for r in again[:5]] == [("g", "t"), ("g", None), (None, "t"), ("", "t"), (None, None)]
+    assert again[5].attrs["note"] == 'a "b" c'
+
+
 def test_routes_and_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 0), ("c", -1)], "name string, label int")
     routed = coding.routed(spark.createDataFrame([(x,) for x in "abcd"], "name string"), rows, "name")
