@@ -20,7 +20,9 @@ import regex
 #: Fixed value: the pattern that parts text before merging, as published with the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A chunk is what the pattern never reaches across: a word with one blank or line end before it.
-CHUNK = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s")
+#: U+001C to U+001F are blanks to `re`, but not to the pattern.
+_BLANK, _FILLED = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+CHUNK = re.compile(rf"[ \n]?{_FILLED}+|{_BLANK}+(?!{_FILLED})|{_BLANK}")
 MAX_CHUNKS = 200_000
 MAX_CACHED_LENGTH = 64
 

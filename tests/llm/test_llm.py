@@ -30,6 +30,16 @@ def test_encoder_is_exact(name):
     assert bpe.decode_batch(offsets, ids) == texts
 
 
+def test_separators_are_no_blanks():
+    bpe = ByteBpe(read_ranks(RANKS))
+    known = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={t: i for i, t in enumerate(bpe.tokens)}, special_tokens={})
+    rng = random.Random(2)
+    bits = ["a", "th", "1", " ", "  ", "\n", "\t", "-", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u00a0", "\u3000"]
+    texts = ["a  \x1cb"] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    offsets, ids = bpe.encode_batch(texts)
+    assert [ids[offsets[i] : offsets[i + 1]].tolist() for i in range(len(texts))] == [known.encode_ordinary(t) for t in texts]
+
+
 def test_ids_and_back(spark):
     texts = ["one two", "", None, "  ", "ü" * 5000, "one two"]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
