@@ -1,11 +1,16 @@
 """Filling containers of fixed capacity with documents of varying length.
 
-Lengths are parted into reciprocal-capacity classes: class k holds lengths from just over
-capacity / (k + 1) to capacity / k, so that k of them always fit. A class's bins hold a fixed
-number of documents, and any worker finds a document's bin from its number within its class
-alone. Plain classes leave a good part of a bin empty, so `refined` classes are cut further,
-by length, and a bin pattern says how many documents of which classes a bin takes; patterns
-follow from the classes' counts, never from single documents.
+Two methods. By default (`refined`) it isn't harmonic packing: classes are lengths in equal
+steps (single lengths up to a capacity of MAX_CLASSES, beyond it capacity / MAX_CLASSES each,
+rounded up to the step's end), and a largest-first greedy loop over the classes' counts, on the
+driver, makes bin patterns that mix classes. A step may straddle capacity / k; its documents
+then count as its largest. Patterns follow from counts, never from single documents.
+
+Plain harmonic packing (`refined=False`) has reciprocal-capacity classes: class k holds lengths
+from just over capacity / (k + 1) to capacity / k, so that k of them always fit, and every bin
+holds documents of one class. It leaves a good part of a bin empty, so no query uses it.
+
+With both any worker finds a document's bin from its number within its class alone.
 """
 
 from __future__ import annotations
@@ -23,7 +28,8 @@ from helixframe.session import shared_checkpoint
 #: Classes of one capacity: exact lengths up to this capacity, beyond it lengths rounded up.
 MAX_CLASSES = 4096
 MAX_SPECS = 256
-_SHIFT = 44
+#: Bits of a document's number within its class; with MAX_SPECS specs the whole stays below 2^63.
+_SHIFT = 42
 
 
 def bin_patterns(counts: dict[int, int], size_of: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
@@ -77,7 +83,8 @@ def pack_documents(counts: DataFrame, doc_id: str, n_tokens: str, specs: DataFra
     null or non-positive capacity hold nothing and are left out. A document over the capacity
     is cut into full pieces and a rest, piece counts from 1; others stay whole. Documents
     without tokens (null or 0) need no room: they come out in bin 0, other bins count from 1.
-    No bin holds more than its capacity. Repeated rows are packed each.
+    No bin holds more than its capacity. Repeated rows are packed each. `refined` chooses
+    between the two methods described above.
     """
     spark = counts.sparkSession
     capacities = [(r.spec_id, int(r.capacity)) for r in specs.select("spec_id", "capacity").distinct().limit(MAX_SPECS + 1).collect() if r.capacity and r.capacity > 0]

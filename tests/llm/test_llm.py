@@ -12,7 +12,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from helixframe.llm.byte_bpe import PATTERN, ByteBpe, read_ranks  # noqa: E402
 from helixframe.llm.encoding import decoded_text, token_ids  # noqa: E402
-from helixframe.llm.packing import bin_patterns, fill_report, pack_documents  # noqa: E402
+from helixframe.llm.packing import MAX_SPECS, bin_patterns, fill_report, pack_documents  # noqa: E402
 from helixframe.llm.plans import RANKS, TOKENIZERS  # noqa: E402
 from helixframe.llm.toxicity import WINDOW, calibrated_threshold, folded, toxicity_rates, toxicity_scores, toxic_documents  # noqa: E402
 
@@ -81,6 +81,13 @@ def test_packing_is_whole_and_within_capacity(spark, refined):
     assert pack_documents(docs, "doc_id", "n", specs.limit(0)).count() == 0
 
 
+def test_packing_with_most_specs(spark):
+    docs = spark.createDataFrame([(i, 10_000 - i) for i in range(5)], "doc_id long, n long")
+    specs = spark.createDataFrame([(i, 10_000 + i) for i in range(MAX_SPECS)], "spec_id int, capacity int")
+    packed = pack_documents(docs, "doc_id", "n", specs).groupBy("spec_id").agg(F.count_distinct("bin_id").alias("n"), F.min("bin_id").alias("a"), F.max("bin_id").alias("z")).collect()
+    assert len(packed) == MAX_SPECS and {(r.n, r.a, r.z) for r in packed} == {(5, 1, 5)}
+
+
 def _corpus(n, seed):
     rng = random.Random(seed)
     plain = ["the mayor opened the new bridge on monday", "a farmer from the district sold his horses", "the committee thanked the teacher for her work", "fresh oysters daily at the market hall"]
