@@ -52,7 +52,9 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of such documents per source."""
-    return toxicity_rates(p8_scores(spark, sf_dir), _read(spark, sf_dir, "documents"), "doc_id", "source")
+    docs = _read(spark, sf_dir, "documents")
+    judged = toxic_documents(docs, "doc_id", "text", "lang", _read(spark, sf_dir, "review_labels"), keep=["source"])
+    return toxicity_rates(judged, docs, "doc_id", "source")
 
 
 QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_bins, p7_fill, p8_found, p8_scores, p8_rates)}

@@ -13,7 +13,7 @@ import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,12 +21,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from helixframe.session import shared_checkpoint
 
 #: At most so many labelled documents (the first by hash) make the dictionaries.
 FIT_DOCUMENTS = 4_500
 WINDOW, STRIDE = 60, 30
+#: The dictionaries' sizes: of longer toxic passages those of the smallest ids are left out.
 TOXIC_BYTES, ORDINARY_BYTES, HARD_WINDOWS = 1 << 17, 1 << 18, 1_500
 LEVEL = 3
 
@@ -121,7 +123,12 @@ def passages(text: bytes, weights: dict, least: float) -> list[bytes]:
 
 
 def fit_dictionaries(rows: list[tuple[str, int, str]]) -> Dictionaries | None:
-    """The two dictionaries from (text, toxic, language); None if a class is missing."""
+    """The two dictionaries from (text, toxic, language); None if a class is missing.
+
+    Of the toxic passages, in the order of `rows`, the last TOXIC_BYTES are kept, of ordinary
+    text about ORDINARY_BYTES, evenly from the languages, and the HARD_WINDOWS ordinary windows
+    that gain most.
+    """
     texts, toxic, langs = [folded(t) for t, _, _ in rows], [y for _, y, _ in rows], [lang for _, _, lang in rows]
     if len(set(toxic)) < 2:
         return None
@@ -166,8 +173,8 @@ def _to_fit() -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(4)) > 0
 
 
-def toxicity_scores(df: DataFrame, doc_id: str, text: str, lang: str, labels: DataFrame, label_id: str = "doc_id", toxic: str = "toxic", fit_documents: int = FIT_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, score) of every row, the labelled documents not used for the dictionaries).
+def toxicity_scores(df: DataFrame, doc_id: str, text: str, lang: str, labels: DataFrame, label_id: str = "doc_id", toxic: str = "toxic", fit_documents: int = FIT_DOCUMENTS, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, score, the columns `keep`) of every row, the labelled documents not used for the dictionaries).
 
     Three of four labelled documents, at most `fit_documents`, make the dictionaries. Null, empty
     and blank texts score -WINDOW. Without labels of both kinds every other text scores 0.
@@ -175,7 +182,8 @@ def toxicity_scores(df: DataFrame, doc_id: str, text: str, lang: str, labels: Da
     spark = df.sparkSession
     judged = judged_documents(labels, label_id, toxic)
     chosen = judged.where(_to_fit()).orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").limit(fit_documents)
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), language(F.col(lang)).alias("lang"))
+    kept = {f"_keep{i}": c for i, c in enumerate(keep)}
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), language(F.col(lang)).alias("lang"), *[F.col(c).alias(k) for k, c in kept.items()])
     # `chosen` has at most fit_documents rows, so its broadcast is bounded.
     sample = docs.join(F.broadcast(chosen), "doc_id").where(F.length("text") > 0).orderBy("doc_id").limit(fit_documents)
     fitted = fit_dictionaries([(r.text, r.y, r.lang) for r in sample.collect()])
@@ -186,9 +194,11 @@ def toxicity_scores(df: DataFrame, doc_id: str, text: str, lang: str, labels: Da
         for batch in batches:
             texts = batch.column(1).to_pylist()
             scores = [gain.score(t) if gain else 0 if t and t.strip() else -WINDOW for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.int32())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.int32()), *batch.columns[2:]], ["doc_id", "score", *kept])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score int")
+    carried = [x for x in docs.schema.fields if x.name in kept]
+    schema = StructType([StructField("doc_id", LongType()), StructField("score", IntegerType()), *carried])
+    scored = docs.select("doc_id", "text", *kept).mapInArrow(run, schema).withColumnsRenamed(kept)
     held_out = judged.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
     return shared_checkpoint(scored), held_out
 
@@ -223,14 +233,24 @@ def calibrated_threshold(scored: DataFrame, held_out: DataFrame) -> int:
     return best(max(share, 1e-4) / max(1e-4, 1 - share) * (1 - judged) / judged)
 
 
-def toxic_documents(df: DataFrame, doc_id: str, text: str, lang: str, labels: DataFrame) -> DataFrame:
-    """(doc_id, score, threshold, is_toxic) of every document."""
-    scored, held_out = toxicity_scores(df, doc_id, text, lang, labels)
+def toxic_documents(df: DataFrame, doc_id: str, text: str, lang: str, labels: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, score, threshold, is_toxic, the columns `keep`) of every document."""
+    scored, held_out = toxicity_scores(df, doc_id, text, lang, labels, keep=keep)
     threshold = calibrated_threshold(scored, held_out)
-    return scored.select("doc_id", "score", F.lit(threshold).alias("threshold"), (F.col("score") >= threshold).alias("is_toxic"))
+    return scored.select("doc_id", "score", F.lit(threshold).alias("threshold"), (F.col("score") >= threshold).alias("is_toxic"), *keep)
 
 
 def toxicity_rates(judged: DataFrame, df: DataFrame, doc_id: str, source: str) -> DataFrame:
-    """(source, n_docs, n_toxic, rate): rows of `df` by source, null for those without one."""
-    sources = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"))
-    return judged.join(sources, "doc_id").groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("is_toxic").alias("n_toxic"), F.avg(F.col("is_toxic").cast("int")).alias("rate"))
+    """(source, n_docs, n_toxic, rate): rows of `df` by source, null for those without one.
+
+    If `judged` carries the column `source` its rows are counted as they are. Else they are
+    found by id, null ids too: each row of `df` counts once, and rows that share an id are
+    all toxic if one of them is.
+    """
+    if source in judged.columns:
+        rows = judged.select(F.col(source).alias("source"), "is_toxic")
+    else:
+        sources = df.select(F.col(doc_id).cast("long").alias("_id"), F.col(source).alias("source"))
+        verdicts = judged.groupBy("doc_id").agg(F.max("is_toxic").alias("is_toxic"))
+        rows = sources.join(verdicts, sources["_id"].eqNullSafe(verdicts["doc_id"])).select("source", "is_toxic")
+    return rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("is_toxic").alias("n_toxic"), F.avg(F.col("is_toxic").cast("int")).alias("rate"))

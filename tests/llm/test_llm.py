@@ -13,7 +13,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from helixframe.llm.byte_bpe import PATTERN, ByteBpe, read_ranks  # noqa: E402
 from helixframe.llm.encoding import decoded_text, token_ids  # noqa: E402
 from helixframe.llm.packing import MAX_SPECS, bin_patterns, fill_report, pack_documents  # noqa: E402
-from helixframe.llm.plans import RANKS, TOKENIZERS  # noqa: E402
+from helixframe.llm.plans import QUERIES, RANKS, TOKENIZERS  # noqa: E402
 from helixframe.llm.toxicity import WINDOW, calibrated_threshold, folded, toxicity_rates, toxicity_scores, toxic_documents  # noqa: E402
 
 
@@ -114,6 +114,17 @@ def test_toxicity_on_held_out_documents(spark):
     assert sum(r.n_docs for r in rates) == len(docs)
 
 
+def test_rates_count_every_row(spark, tmp_path):
+    docs = [(1, "a", "en", "s"), (1, "b", "en", "t"), (1, "c", "en", None), (None, "d", "en", "s"), (None, "", None, "u")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/review_labels.parquet")
+    want = {"s": 2, "t": 1, "u": 1, None: 1}
+    assert {r.source: r.n_docs for r in QUERIES["p8_rates"](spark, str(tmp_path)).collect()} == want
+    judged = df.selectExpr("doc_id", "text = 'a' as is_toxic")
+    assert {r.source: (r.n_docs, r.n_toxic) for r in toxicity_rates(judged, df, "doc_id", "source").collect()} == {"s": (2, 1), "t": (1, 1), "u": (1, 0), None: (1, 1)}
+
+
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
