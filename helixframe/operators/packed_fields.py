@@ -7,6 +7,7 @@ offsets make list arrays, which are flattened with the ordinals of their parents
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,7 +19,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _MEMBER = np.zeros(256, bool)
 _MEMBER[[*b"._:-'"]] = True
-_MEMBER[48:58] = _MEMBER[65:91] = _MEMBER[97:123] = _MEMBER[128:] = True
+_MEMBER[48:58] = _MEMBER[65:91] = _MEMBER[97:123] = True
 _DQ, _SQ, _SEMI = 34, 39, 59
 
 
@@ -59,6 +60,21 @@ def _spelled(b: np.ndarray, ks: np.ndarray, ke: np.ndarray, key: bytes) -> np.nd
     return same
 
 
+def _member_bytes(b: np.ndarray) -> np.ndarray:
+    """Where the bytes of UTF-8 text belong to letters, digits or marks that a member may hold."""
+    word = _MEMBER[b]
+    if not len(b) or b.max() < 128:
+        return word
+    head = (b & 0xC0) != 0x80
+    at = np.flatnonzero(head & (b >= 0xC0))
+    lead, more = b[at].astype(np.int64), np.append(b, np.zeros(3, np.uint8)).astype(np.int64) & 0x3F
+    two, three = (lead & 0x1F) << 6 | more[at + 1], (lead & 0x0F) << 12 | more[at + 1] << 6 | more[at + 2]
+    four = (lead & 0x07) << 18 | more[at + 1] << 12 | more[at + 2] << 6 | more[at + 3]
+    points, which = np.unique(np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, four)), return_inverse=True)
+    word[at] = np.array([p < 0x110000 and unicodedata.category(chr(p))[0] in "LMN" for p in points.tolist()], bool)[which]
+    return word[np.maximum.accumulate(np.where(head, np.arange(len(b)), 0))]
+
+
 def _members(b: np.ndarray, vs: np.ndarray, ve: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(value, start, end) of every member of the byte ranges vs..ve, which don't overlap."""
     n = len(b)
@@ -68,7 +84,7 @@ def _members(b: np.ndarray, vs: np.ndarray, ve: np.ndarray) -> tuple[np.ndarray,
     inside = np.cumsum(inside)[:n].astype(bool)
     owner = np.zeros(n, np.int64)
     owner[inside] = np.repeat(np.arange(len(vs)), ve - vs)
-    word = _MEMBER[b] & inside
+    word = _member_bytes(b) & inside
     edge_l = ~np.concatenate([[False], word[:-1]])
     edge_l[vs[vs < n]] = True
     edge_r = ~np.concatenate([word[1:], [False]])
@@ -186,7 +202,8 @@ def packed_members(df: DataFrame, row_id: str, packed: str, keys: Sequence[str])
     Pairs are parted by semicolons outside double quotes; a pair is a key, blanks and a value,
     in double quotes or bare. A member is a run of letters, digits and `.` `_` `:` `-` `'`, not
     beginning with `'`, or text that stands as a whole in inner single quotes (a quote that is
-    never closed is a delimiter). Letters beyond ASCII count as letters. Blank members don't
+    never closed is a delimiter). Letters, with what combines with them, and digits are Unicode's
+    classes L, M and N; all else beyond ASCII parts members. Blank members don't
     count, repeats do; if a key comes again, pos goes on. An open double quote runs to the end
     of its field. Null and empty fields and empty tables give no rows; rows that share a row_id
     are numbered each by itself.

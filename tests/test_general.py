@@ -150,6 +150,13 @@ def test_packed_members(spark):
     assert packed_members(df.limit(0), "row_id", "packed", ("tag",)).count() == 0
 
 
+def test_packed_members_beyond_ascii():
+    values = ["a–b", "a\u00a0b", "“a” b", "a，é、漢字", "e\u0301a…ß", "'x–y' 'ü'", "𝒜😀b٣", "हिन्दी।x"]
+    got = split_members(pa.array(range(9)), pa.array([f'tag "{v}";' for v in [*values, "a.b,c"]]), ("tag",)).to_pylist()
+    mine = [[r["val"] for r in got if r["row_id"] == i] for i in range(9)]
+    assert mine == [["a", "b"], ["a", "b"], ["a", "b"], ["a", "é", "漢字"], ["e\u0301a", "ß"], ["x–y", "ü"], ["𝒜", "b٣"], ["हिन्दी", "x"], ["a.b", "c"]]
+
+
 def test_packed_members_odd_quotes():
     cut = lambda t: split_members(pa.array([7]), pa.array([t]), ("tag",)).column(3).to_pylist()
     assert cut("tag \"'open, x 3'end\"") == ["open", "x", "3'end"]
