@@ -191,7 +191,7 @@ def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def klet_shuffle(spark: SparkSession, d: str) -> DataFrame:
-    return shuffled_sequences(_seqs(spark, d), 3, 1).select("name", "copy", "seq")
+    return shuffled_sequences(_seqs(spark, d)).select("name", "copy", "seq")
 
 
 # Coding potential, over the forest's result table and the registry --------------------------
