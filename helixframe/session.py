@@ -25,10 +25,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> Spar
 def shared_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage of `df` in the folder named by spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, one machine) a folder of its own is made.
+    Where it names none, a folder of its own is made on a single machine (master local); on a
+    cluster that is an error, as its machines couldn't read each other's local folders.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helixframe-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="helixframe-"))
     return df.checkpoint(eager)
+
+
+def is_local(master: str) -> bool:
+    """Whether all tasks run in the driver's own process."""
+    return master == "local" or master.startswith("local[")
