@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm.encoding import decoded_text, token_counts, token_ids
 from helixframe.llm.packing import fill_report, pack_documents
-from helixframe.llm.toxicity import toxic_documents, toxicity_rates
+from helixframe.llm.toxicity import toxic_documents, toxicity_quality, toxicity_rates
 
 #: Where the public vocabularies lie; never copied into this repository.
 TOKENIZERS = os.environ.get("HELIXFRAME_TOKENIZERS", "/opt/tokenizers")
@@ -57,7 +57,14 @@ def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_rates(judged, docs, "doc_id", "source")
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_bins, p7_fill, p8_found, p8_scores, p8_rates)}
+def p8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the held-out labelled documents are found, by language and category."""
+    labels = _read(spark, sf_dir, "review_labels")
+    judged = toxic_documents(_read(spark, sf_dir, "documents"), "doc_id", "text", "lang", labels, keep=["lang"])
+    return toxicity_quality(judged, labels)
+
+
+QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_bins, p7_fill, p8_found, p8_scores, p8_rates, p8_quality)}
 
 SQL = {
     "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",

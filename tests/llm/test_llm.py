@@ -14,7 +14,7 @@ from helixframe.llm.byte_bpe import PATTERN, ByteBpe, read_ranks  # noqa: E402
 from helixframe.llm.encoding import decoded_text, token_ids  # noqa: E402
 from helixframe.llm.packing import MAX_SPECS, bin_patterns, fill_report, pack_documents  # noqa: E402
 from helixframe.llm.plans import QUERIES, RANKS, TOKENIZERS  # noqa: E402
-from helixframe.llm.toxicity import WINDOW, calibrated_threshold, folded, toxicity_rates, toxicity_scores, toxic_documents  # noqa: E402
+from helixframe.llm.toxicity import LEAST, calibrated_threshold, folded, toxicity_rates, toxicity_scores, toxic_documents  # noqa: E402
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k", "byte_bpe_multi_50k"])
@@ -107,7 +107,7 @@ def test_toxicity_on_held_out_documents(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, truth int")
     labels = spark.createDataFrame([(d[0], d[4]) for d in docs[:200]] + [(3, 1), (4, None), (5, 0)], "doc_id long, toxic int")
     got = {r.doc_id: r for r in toxic_documents(df, "doc_id", "text", "lang", labels).collect()}
-    assert len(got) == len(docs) and got[1000].score == got[1001].score == -WINDOW and not got[1002].is_toxic
+    assert len(got) == len(docs) and got[1000].score == got[1001].score == LEAST and not got[1002].is_toxic
     unseen = docs[200:400]
     assert sum(got[d[0]].is_toxic == bool(d[4]) for d in unseen) >= 0.95 * len(unseen)
     rates = toxicity_rates(toxic_documents(df, "doc_id", "text", "lang", labels), df, "doc_id", "source").collect()
@@ -129,7 +129,7 @@ def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     scored, held_out = toxicity_scores(df, "doc_id", "text", "lang", labels)
-    assert {r.doc_id: r.score for r in scored.collect()} == {1: 0, 2: -WINDOW}
+    assert {r.doc_id: r.score for r in scored.collect()} == {1: 0, 2: LEAST}
     assert calibrated_threshold(scored, held_out) == 1
     assert toxic_documents(df.limit(0), "doc_id", "text", "lang", labels).count() == 0
 
