@@ -1,16 +1,14 @@
-"""Filling containers of fixed capacity with documents of varying length.
+"""Filling containers of fixed capacity with documents of varying length, by harmonic packing.
 
-Two methods. By default (`refined`) it isn't harmonic packing: classes are lengths in equal
-steps (single lengths up to a capacity of MAX_CLASSES, beyond it capacity / MAX_CLASSES each,
-rounded up to the step's end), and a largest-first greedy loop over the classes' counts, on the
-driver, makes bin patterns that mix classes. A step may straddle capacity / k; its documents
-then count as its largest. Patterns follow from counts, never from single documents.
+Class k holds the lengths from just over capacity / (k + 1) to capacity / k, so that k documents
+of it always fit. The bins of a class are filled with k documents each, so any worker finds a
+document's bin from its number within its class alone.
 
-Plain harmonic packing (`refined=False`) has reciprocal-capacity classes: class k holds lengths
-from just over capacity / (k + 1) to capacity / k, so that k of them always fit, and every bin
-holds documents of one class. It leaves a good part of a bin empty, so no query uses it.
-
-With both any worker finds a document's bin from its number within its class alone.
+As such (`refined=False`) a bin holds documents of one class and the room that k of them leave
+stays empty. By default the classes are refined: within a class, documents are told apart by
+their exact length, so that the room left in a class's bins is known before any document is
+placed, and it is given to documents of smaller classes, again so many of each length a bin. Bin
+patterns follow from the counts of lengths, never from documents.
 """
 
 from __future__ import annotations
@@ -25,55 +23,88 @@ from pyspark.sql import functions as F
 from helixframe.operators.key_balance import number_rows
 from helixframe.session import shared_checkpoint
 
-#: Classes of one capacity: exact lengths up to this capacity, beyond it lengths rounded up.
-MAX_CLASSES = 4096
-MAX_SPECS = 256
-#: Bits of a document's number within its class; with MAX_SPECS specs the whole stays below 2^63.
-_SHIFT = 42
+#: Each spec is held as a literal and as arrays on every worker; more are an error.
+MAX_SPECS = 1000
+
+#: ([(length or class, documents of it in a bin)], bins).
+Pattern = tuple[list[tuple[int, int]], int]
+
+
+def class_patterns(counts: dict[int, int]) -> list[Pattern]:
+    """Patterns from the documents per class: k of class k in a bin, one last bin for the rest."""
+    full = [([(k, k)], n // k) for k, n in sorted(counts.items()) if n >= k]
+    return full + [([(k, n % k)], 1) for k, n in sorted(counts.items()) if n % k]
 
 
-def bin_patterns(counts: dict[int, int], size_of: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
-    """([(class, documents of it in a bin)], bins) such that every document has its place.
+def refined_patterns(counts: dict[int, int], capacity: int) -> list[Pattern]:
+    """Patterns from the documents per exact length, such that every document has its place.
 
-    `size_of` is the most that a document of the class takes. Each bin is begun with the
-    largest class left and goes on with the largest that still fits; a pattern is kept for as
-    many bins as the counts allow.
+    Bins are begun class by class, from class 1 on. A bin of class k takes its k documents from
+    the largest lengths left in the class, then as many as fit of the largest length left in
+    this or a smaller class that fits the room, and so on. A pattern is kept for as many bins
+    as the counts allow, so each one uses a length up.
     """
-    left = {c: n for c, n in counts.items() if n}
-    classes = sorted(left, key=lambda c: (size_of[c], c))
-    sizes = [size_of[c] for c in classes]
-    patterns = []
-    while classes:
-        room, pattern, at = capacity, [], len(classes)
-        while at and (at := bisect_right(sizes, room, 0, at)):
-            c = classes[at - 1]
-            take = min(left[c], room // sizes[at - 1])
-            pattern.append((c, take))
-            room -= take * sizes[at - 1]
-            at -= 1
-        bins = min(left[c] // q for c, q in pattern)
-        for c, q in pattern:
-            left[c] -= q * bins
-            if not left[c]:
-                i = classes.index(c)
-                del classes[i], sizes[i]
-        patterns.append((pattern, bins))
+    sizes = sorted(n for n, c in counts.items() if c > 0)
+    left = [counts[n] for n in sizes]
+    lower = list(range(len(sizes) + 1))  # lower[i]: where to look for a length below place i that isn't used up
+
+    def below(i: int) -> int:
+        """One more than the place of the largest length left among the first i."""
+        at = i
+        while lower[at] != at:
+            at = lower[at]
+        while lower[i] != at:
+            lower[i], i = at, lower[i]
+        return at
+
+    patterns: list[Pattern] = []
+    while top := below(len(sizes)):
+        room, taken = capacity, []
+        while top:
+            i = top - 1
+            take = min(left[i], room // sizes[i])
+            taken.append((i, take))
+            room -= take * sizes[i]
+            top = below(bisect_right(sizes, room, 0, i))
+        bins = min(left[i] // q for i, q in taken)
+        for i, q in taken:
+            left[i] -= q * bins
+            if not left[i]:
+                lower[i + 1] = i
+        patterns.append(([(sizes[i], q) for i, q in taken], bins))
     return patterns
 
 
-def _slots(patterns_of: dict[int, list[tuple[list[tuple[int, int]], int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted (class and first rank as one number), first bin and documents a bin."""
-    rows = []
-    for key, patterns in patterns_of.items():
-        base, used = 1, {}
-        for pattern, bins in patterns:
-            for c, q in pattern:
-                first = used.get(c, 0)
-                rows.append((((key * (MAX_CLASSES + 1) + c) << _SHIFT) + first, base, q))
-                used[c] = first + q * bins
-            base += bins
-    table = np.array(sorted(rows) or np.zeros((0, 3)), np.int64).reshape(-1, 3)
-    return table[:, 0], table[:, 1], table[:, 2]
+class Places:
+    """The bin of a document from its spec, class (or length) and number within both."""
+
+    def __init__(self, patterns_of: dict[int, list[Pattern]]) -> None:
+        runs: dict[int, list[tuple[int, int, int]]] = {}
+        held: dict[int, int] = {}
+        for spec, patterns in patterns_of.items():
+            base = 1
+            for pattern, bins in patterns:
+                for c, q in pattern:
+                    group = self.group(spec, c)
+                    first = held.get(group, 0)
+                    runs.setdefault(group, []).append((first, base, q))
+                    held[group] = first + q * bins
+                base += bins
+        groups = sorted(runs)
+        self.groups = np.array(groups, np.int64)
+        #: How many documents the groups before have, so that one sorted array serves all.
+        self.before = np.cumsum([0, *(held[g] for g in groups)], dtype=np.int64)[:-1]
+        table = [(b + first, base, q) for g, b in zip(groups, self.before.tolist(), strict=True) for first, base, q in runs[g]]
+        self.firsts, self.bases, self.each = np.array(table or np.zeros((0, 3)), np.int64).reshape(-1, 3).T.copy()
+
+    @staticmethod
+    def group(spec, c):
+        return (spec << 32) + c
+
+    def bins(self, spec: np.ndarray, c: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        place = self.before[np.searchsorted(self.groups, self.group(spec, c))] + rank - 1
+        at = np.searchsorted(self.firsts, place, "right") - 1
+        return self.bases[at] + (place - self.firsts[at]) // self.each[at]
 
 
 def pack_documents(counts: DataFrame, doc_id: str, n_tokens: str, specs: DataFrame, refined: bool = True) -> DataFrame:
@@ -83,11 +114,12 @@ def pack_documents(counts: DataFrame, doc_id: str, n_tokens: str, specs: DataFra
     null or non-positive capacity hold nothing and are left out. A document over the capacity
     is cut into full pieces and a rest, piece counts from 1; others stay whole. Documents
     without tokens (null or 0) need no room: they come out in bin 0, other bins count from 1.
-    No bin holds more than its capacity. Repeated rows are packed each. `refined` chooses
-    between the two methods described above.
+    No bin holds more than its capacity. Repeated rows are packed each. `refined` is described
+    above. Counting lengths runs at once; of each spec at most as many counts as its capacity
+    has tokens come to the driver, however many documents there are.
     """
     spark = counts.sparkSession
-    capacities = [(r.spec_id, int(r.capacity)) for r in specs.select("spec_id", "capacity").distinct().limit(MAX_SPECS + 1).collect() if r.capacity and r.capacity > 0]
+    capacities = [(r.spec_id, int(r.capacity)) for r in specs.where("capacity > 0").select("spec_id", "capacity").distinct().limit(MAX_SPECS + 1).collect()]
     if len(capacities) > MAX_SPECS:
         raise ValueError(f"more than {MAX_SPECS} container specs")
     if not capacities:
@@ -98,30 +130,17 @@ def pack_documents(counts: DataFrame, doc_id: str, n_tokens: str, specs: DataFra
     per_spec = sizes.select("doc_id", "n", F.explode(options).alias("o")).select("doc_id", "n", "o.*")
     cut = per_spec.withColumn("piece", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.col("n") / F.col("cap")).cast("int")))))
     pieces = cut.withColumn("size", F.least("cap", F.col("n") - (F.col("piece") - 1) * F.col("cap")))
-    fine = F.ceil(F.col("size") * F.least("cap", F.lit(MAX_CLASSES)) / F.col("cap"))
-    plain = F.when(F.col("size") > 0, F.least(F.floor(F.col("cap") / F.col("size")), F.lit(MAX_CLASSES)))
-    pieces = pieces.select("spec_id", "spec_no", "doc_id", "piece", "size", F.coalesce(fine if refined else plain, F.lit(0)).cast("int").alias("cls"))
+    cls = F.col("size") if refined else F.when(F.col("size") > 0, F.floor(F.col("cap") / F.col("size"))).otherwise(0)
+    pieces = pieces.select("spec_id", "spec_no", "doc_id", "piece", "size", cls.cast("int").alias("cls"))
 
     held: dict[int, dict[int, int]] = {i: {} for i in range(len(capacities))}
-    for r in pieces.where("size > 0").groupBy("spec_no", "cls").count().collect():  # at most MAX_CLASSES rows a spec
+    for r in pieces.where("size > 0").groupBy("spec_no", "cls").count().collect():
         held[r.spec_no][r.cls] = r["count"]
-    patterns = {}
-    for i, (_, c) in enumerate(capacities):
-        if refined:
-            u = min(c, MAX_CLASSES)
-            patterns[i] = bin_patterns(held[i], {k: k * c // u for k in held[i]}, c)
-        else:
-            patterns[i] = [p for k, n in sorted(held[i].items()) for p in (([(k, k)], n // k), ([(k, max(1, n % k))], 1 if n % k else 0)) if p[1]]
-    firsts, bases, each = _slots(patterns)
-    shared = spark.sparkContext.broadcast((firsts, bases, each))
+    shared = spark.sparkContext.broadcast(Places({i: refined_patterns(held[i], c) if refined else class_patterns(held[i]) for i, (_, c) in enumerate(capacities)}))
 
     @F.pandas_udf("long")
     def bin_of(spec_no: pd.Series, cls: pd.Series, rank: pd.Series) -> pd.Series:
-        firsts, bases, each = shared.value
-        group = (spec_no.to_numpy(np.int64) * (MAX_CLASSES + 1) + cls.to_numpy(np.int64)) << _SHIFT
-        place = group + rank.to_numpy(np.int64) - 1
-        at = np.searchsorted(firsts, place, "right") - 1
-        return pd.Series(bases[at] + (place - firsts[at]) // each[at])
+        return pd.Series(shared.value.bins(*(x.to_numpy(np.int64) for x in (spec_no, cls, rank))))
 
     ranked = number_rows(pieces.where("size > 0"), ["spec_no", "cls"], "doc_id", ["piece", "size"])
     packed = ranked.select("spec_id", "doc_id", "piece", F.col("size").alias("n_tokens"), bin_of("spec_no", "cls", "rank").alias("bin_id"))
@@ -130,9 +149,25 @@ def pack_documents(counts: DataFrame, doc_id: str, n_tokens: str, specs: DataFra
 
 
 def fill_report(packed: DataFrame, specs: DataFrame) -> DataFrame:
-    """(spec_id, capacity, n_bins, n_tokens, fill): how full the bins of each spec are."""
+    """(spec_id, capacity, n_bins, n_tokens, fullest, fill): how full the bins of each spec are."""
     bins = packed.where("bin_id > 0").groupBy("spec_id", "bin_id").agg(F.sum("n_tokens").alias("held"))
     used = bins.groupBy("spec_id").agg(F.count("*").alias("n_bins"), F.sum("held").alias("n_tokens"), F.max("held").alias("fullest"))
-    return used.join(F.broadcast(specs.select("spec_id", "capacity").distinct().limit(MAX_SPECS)), "spec_id").select(
+    return used.join(specs.select("spec_id", "capacity").distinct(), "spec_id").select(
         "spec_id", "capacity", "n_bins", "n_tokens", "fullest", (F.col("n_tokens") / (F.col("n_bins") * F.col("capacity"))).alias("fill")
     )
+
+
+def packing_faults(packed: DataFrame, counts: DataFrame, doc_id: str, n_tokens: str, specs: DataFrame) -> DataFrame:
+    """(spec_id, n_docs, n_over, n_cut, n_off): documents packed, and what is wrong with that, per spec.
+
+    n_over counts bins that hold more than the capacity, n_cut documents in another number of
+    pieces than their length calls for (one, up to the capacity), n_off documents whose pieces
+    don't add up to their length. `counts` has a document id once.
+    """
+    caps = specs.where("capacity > 0").select("spec_id", "capacity").distinct()
+    over = packed.where("bin_id > 0").groupBy("spec_id", "bin_id").agg(F.sum("n_tokens").alias("held")).join(caps, "spec_id").groupBy("spec_id").agg(F.count_if(F.col("held") > F.col("capacity")).alias("n_over"))
+    truth = counts.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(n_tokens), F.lit(0)).alias("n"))
+    docs = packed.groupBy("spec_id", "doc_id").agg(F.sum("n_tokens").alias("held"), F.count("*").alias("pieces")).join(truth, "doc_id").join(caps, "spec_id")
+    wanted = F.greatest(F.lit(1), F.ceil(F.col("n") / F.col("capacity")))
+    found = docs.groupBy("spec_id").agg(F.count("*").alias("n_docs"), F.count_if(F.col("pieces") != wanted).alias("n_cut"), F.count_if(F.col("held") != F.col("n")).alias("n_off"))
+    return found.join(over, "spec_id", "left").select("spec_id", "n_docs", F.coalesce("n_over", F.lit(0)).alias("n_over"), "n_cut", "n_off")

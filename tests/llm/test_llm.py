@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from helixframe.llm.byte_bpe import PATTERN, ByteBpe, read_ranks  # noqa: E402
 from helixframe.llm.encoding import decoded_text, token_ids  # noqa: E402
-from helixframe.llm.packing import MAX_SPECS, bin_patterns, fill_report, pack_documents  # noqa: E402
+from helixframe.llm.packing import MAX_SPECS, Places, class_patterns, fill_report, pack_documents, packing_faults, refined_patterns  # noqa: E402
 from helixframe.llm.plans import QUERIES, RANKS, TOKENIZERS  # noqa: E402
 from helixframe.llm.toxicity import LEAST, calibrated_threshold, folded, toxicity_rates, toxicity_scores, toxic_documents  # noqa: E402
 
@@ -52,11 +53,29 @@ def test_ids_and_back(spark):
     assert token_ids(df.limit(0), "doc_id", "text", RANKS).count() == 0
 
 
-def test_patterns_place_everything():
-    counts = {7: 5, 3: 11, 2: 1, 1: 4}
-    patterns = bin_patterns(counts, {c: c for c in counts}, 10)
-    assert all(sum(c * q for c, q in p) <= 10 for p, _ in patterns)
-    assert {c: sum(q * n for p, n in patterns for x, q in p if x == c) for c in counts} == counts
+@pytest.mark.parametrize("capacity", [10, 97, 10**6])
+def test_patterns_place_everything(capacity):
+    rng = random.Random(capacity)
+    counts = {n: rng.randint(1, 40) for n in {rng.randint(1, min(capacity, 50_000)) for _ in range(2000)} | {capacity}}
+    patterns = refined_patterns(counts, capacity)
+    assert all(sum(n * q for n, q in p) <= capacity for p, _ in patterns)
+    assert all(q == min(capacity // n, q) for p, _ in patterns for n, q in p[:1])
+    placed = {}
+    for p, bins in patterns:
+        for n, q in p:
+            placed[n] = placed.get(n, 0) + q * bins
+    assert placed == counts
+    places = Places({7: patterns, 999: patterns})
+    for n in list(counts)[:50]:
+        ranks = np.arange(1, counts[n] + 1)
+        for spec in (7, 999):
+            got = places.bins(np.full(len(ranks), spec), np.full(len(ranks), n), ranks)
+            assert got.min() >= 1 and got.max() <= sum(b for _, b in patterns)
+
+
+def test_classes_are_filled_by_count():
+    patterns = class_patterns({1: 3, 2: 5, 7: 6})
+    assert sorted(patterns) == [([(1, 1)], 3), ([(2, 1)], 1), ([(2, 2)], 2), ([(7, 6)], 1)]
 
 
 @pytest.mark.parametrize("refined", [True, False])
@@ -77,15 +96,23 @@ def test_packing_is_whole_and_within_capacity(spark, refined):
     assert {r.spec_id for r in fill_report(packed, specs).collect()} == {1, 2}
     if refined:
         assert min(r.fill for r in fill_report(packed, specs).collect()) > 0.9
+    once = docs.groupBy("doc_id").agg(F.max("n").alias("n"))
+    faults = packing_faults(pack_documents(once, "doc_id", "n", specs, refined), once, "doc_id", "n", specs).collect()
+    assert sorted(tuple(r) for r in faults) == [(1, 600, 0, 0, 0), (2, 600, 0, 0, 0)]
     assert pack_documents(docs.limit(0), "doc_id", "n", specs).count() == 0
     assert pack_documents(docs, "doc_id", "n", specs.limit(0)).count() == 0
 
 
-def test_packing_with_most_specs(spark):
+def test_packing_with_many_specs_and_large_capacities(spark):
     docs = spark.createDataFrame([(i, 10_000 - i) for i in range(5)], "doc_id long, n long")
-    specs = spark.createDataFrame([(i, 10_000 + i) for i in range(MAX_SPECS)], "spec_id int, capacity int")
+    specs = spark.createDataFrame([(i, 10_000 + i) for i in range(300)], "spec_id int, capacity int")
     packed = pack_documents(docs, "doc_id", "n", specs).groupBy("spec_id").agg(F.count_distinct("bin_id").alias("n"), F.min("bin_id").alias("a"), F.max("bin_id").alias("z")).collect()
-    assert len(packed) == MAX_SPECS and {(r.n, r.a, r.z) for r in packed} == {(5, 1, 5)}
+    assert len(packed) == 300 and {(r.n, r.a, r.z) for r in packed} == {(5, 1, 5)}
+    wide = spark.createDataFrame([(1, 10**6)], "spec_id int, capacity int")
+    many = spark.range(3000).selectExpr("id as doc_id", "1 + pmod(xxhash64(id), 400000) as n")
+    assert fill_report(pack_documents(many, "doc_id", "n", wide), wide).first().fill > 0.99
+    with pytest.raises(ValueError):
+        pack_documents(docs, "doc_id", "n", spark.range(MAX_SPECS + 1).selectExpr("cast(id as int) as spec_id", "10 as capacity"))
 
 
 def _corpus(n, seed):
