@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def floor_div(c: Column, width: Column | int) -> Column:
+    """`c` by a positive whole number, rounded down; exact for every long."""
+    width = width if isinstance(width, Column) else F.lit(width)
+    return F.call_function("div", c, width.cast("long")) - F.when((c < 0) & (c % width != 0), 1).otherwise(0)
+
+
 def overlaps(b1: Column, e1: Column, b2: Column, e2: Column) -> Column:
     return (e1 >= b2) & (b1 <= e2)
 

@@ -7,57 +7,67 @@ neighbours, and gaps across edges follow from one row per (entity, shard).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.functions.intervals import floor_div
+
 SHARD_WIDTH = 1 << 16
 MAX_PIECES = 4096
 #: So many entities with very long intervals have shards of their own width; their list is broadcast.
 OWN_WIDTHS = 512
-#: Coordinates beyond this leave no room for sums.
-LIMIT = 1 << 61
+
+
+def _apart(start: str, reach: str) -> Column:
+    """Whether a position at least lies between; false where nothing comes after `reach`."""
+    return F.coalesce(F.col(start) > F.try_add(reach, F.lit(1)), F.lit(False))
 
 
 def merge_intervals(df: DataFrame, entity: str, start: str, end: str, shard_width: int = SHARD_WIDTH, max_pieces: int = MAX_PIECES, own_widths: int = OWN_WIDTHS) -> DataFrame:
     """(entity, kind, seg_start, seg_end): kind is block or gap; intervals are closed.
 
     Intervals that follow each other directly form one block. Rows with a null entity or
-    coordinate, with start > end, or beyond 2**61, are left out; repeated, nested and equal intervals change
-    nothing. Where an entity's longest interval would fall into more than `max_pieces` shards, its
-    shards are widened; of such entities those beyond the `own_widths` longest widen the
-    shards of all. An empty table gives no rows.
+    coordinate, or with start > end, are left out; repeated, nested and equal intervals change
+    nothing. Coordinates may be any long. Where an entity's longest interval would fall into more
+    than `max_pieces` shards, its shards are widened; of such entities those beyond the
+    `own_widths` longest widen the shards of all; a job finds them when this is called. An empty
+    table gives no rows.
     """
     rows = df.where(F.col(entity).isNotNull() & (F.col(start) <= F.col(end))).select(
         F.col(entity).alias("entity"), F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e")
-    ).where((F.col("s") > -LIMIT) & (F.col("e") < LIMIT))
-    length = F.col("e") - F.col("s")
+    )
+    # Counted in shards, as end - start can be more than a long holds.
+    base, max_pieces = max(2, shard_width), max(4, max_pieces)
+    length = floor_div(F.col("e"), base) - floor_div(F.col("s"), base)
     # At most own_widths + 1 rows, and none where no interval is very long.
-    long = rows.where(length >= shard_width * max_pieces).groupBy("entity").agg(F.max(length).alias("longest")).orderBy(F.desc("longest"), "entity").limit(own_widths + 1)
+    long = rows.where(length >= max_pieces).groupBy("entity").agg(F.max(length).alias("longest")).orderBy(F.desc("longest"), "entity").limit(own_widths + 1)
     longest = [r.longest for r in long.select("longest").collect()]
-    common = longest[own_widths] // max_pieces + 1 if len(longest) > own_widths else shard_width
+    common = base * (longest[own_widths] // max_pieces + 1) if len(longest) > own_widths else base
     by, w = ["entity", "shard"], F.lit(common).cast("long")
     if longest:
-        own = long.select("entity", F.greatest(F.lit(common), F.expr(f"longest div {max_pieces}L + 1")).alias("w"))
+        own = long.select("entity", F.greatest(F.lit(common), F.expr(f"{base}L * (longest div {max_pieces}L + 1)")).alias("w"))
         rows = rows.join(F.broadcast(own), "entity", "left").withColumn("w", F.coalesce("w", w))
         by, w = [*by, "w"], F.col("w")
     rows = rows.withColumn("w", w)
-    shard_of = lambda c: F.expr(f"({c} - pmod({c}, w)) div w")
-    clipped = rows.select("entity", "s", "e", "w", F.explode(F.sequence(shard_of("s"), shard_of("e"))).alias("shard")).select(
-        *by, F.greatest("s", F.col("shard") * w).alias("s"), F.least("e", F.col("shard") * w + (w - 1)).alias("e")
+    # The first and last position of a shard; null where that is beyond all longs.
+    shard_low, shard_high = F.try_multiply("shard", w), F.try_subtract(F.try_multiply(F.col("shard") + 1, w), F.lit(1))
+    clipped = rows.select("entity", "s", "e", "w", F.explode(F.sequence(floor_div(F.col("s"), w), floor_div(F.col("e"), w))).alias("shard")).select(
+        *by, F.greatest("s", shard_low).alias("s"), F.least("e", shard_high).alias("e")
     )
     # At most one start for each position is left in a shard, however many rows it holds.
     starts = clipped.groupBy(*by, "s").agg(F.max("e").alias("e"))
     local = Window.partitionBy(*by).orderBy("s")
     reach = F.max("e").over(local.rowsBetween(Window.unboundedPreceding, -1))
     islands = (
-        starts.withColumn("new", F.coalesce((F.col("s") > reach + 1).cast("int"), F.lit(1)))
+        starts.withColumn("reach", reach)
+        .withColumn("new", F.when(F.col("reach").isNull() | _apart("s", "reach"), 1).otherwise(0))
         .withColumn("island", F.sum("new").over(local))
         .groupBy(*by, "island")
         .agg(F.min("s").alias("s"), F.max("e").alias("e"))
     )
     whole = Window.partitionBy(*by)
     seg = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("s"), b.alias("e"))
-    s, e, edge = F.col("s"), F.col("e"), (F.col("s") == F.col("shard") * w) | (F.col("e") == F.col("shard") * w + (w - 1))
+    s, e, edge = F.col("s"), F.col("e"), F.coalesce(F.col("s") == shard_low, F.lit(False)) | F.coalesce(F.col("e") == shard_high, F.lit(False))
     found = islands.withColumn("next", F.lead("s").over(local)).withColumn("far", F.max("e").over(whole)).withColumn("first", F.min("s").over(whole) == s)
     segments = found.select(
         "entity",
@@ -66,7 +76,7 @@ def merge_intervals(df: DataFrame, entity: str, start: str, end: str, shard_widt
             F.array_compact(
                 F.array(
                     F.when(edge, seg("edge", s, e)).otherwise(seg("block", s, e)),
-                    F.when(F.col("next").isNotNull(), seg("gap", e + 1, F.col("next") - 1)),
+                    F.when(F.col("next").isNotNull(), seg("gap", F.try_add(e, F.lit(1)), F.try_subtract("next", F.lit(1)))),
                     F.when(F.col("first"), seg("shard", s, F.col("far"))),
                 )
             )
@@ -77,15 +87,15 @@ def merge_intervals(df: DataFrame, entity: str, start: str, end: str, shard_widt
     seam = Window.partitionBy("entity", "group", "kind").orderBy("s")
     joined = (
         across.withColumn("last", F.lag("e").over(seam))
-        .withColumn("new", F.coalesce((s > F.col("last") + 1).cast("int"), F.lit(1)))
+        .withColumn("new", F.when(F.col("last").isNull() | _apart("s", "last"), 1).otherwise(0))
         .withColumn("chain", F.when(F.col("kind") == "edge", F.sum("new").over(seam)).otherwise(s))
         .groupBy("entity", "group", "kind", "chain")
         .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min("last").alias("last"))
     )
     apart = F.col("kind") == "shard"
-    return joined.where(~apart | (s > F.col("last") + 1)).select(
+    return joined.where(~apart | _apart("s", "last")).select(
         "entity",
         F.when(apart, "gap").when(F.col("kind") == "edge", "block").otherwise(F.col("kind")).alias("kind"),
-        F.when(apart, F.col("last") + 1).otherwise(s).alias("seg_start"),
-        F.when(apart, s - 1).otherwise(e).alias("seg_end"),
+        F.when(apart, F.try_add("last", F.lit(1))).otherwise(s).alias("seg_start"),
+        F.when(apart, F.try_subtract("s", F.lit(1))).otherwise(e).alias("seg_end"),
     )
