@@ -31,6 +31,20 @@ def test_range_join_equals_brute_force(spark):
         assert sorted((r[0], r[1]) for r in got) == sorted(want)
 
 
+def test_range_join_with_very_long_spans(spark):
+    rng = random.Random(7)
+    size = lambda: rng.choice([1, 30, 5000, 10**6, 2 * 10**9, 10**13])
+    make = lambda n: [(i, rng.choice("ab"), s := rng.randint(-(10**6), 10**7), s + size()) for i in range(n)]
+    left, right = make(120), make(120)
+    schema = "id int, k string, start long, end long"
+    for slack, width in ((0, 64), (100_000, 1 << 14)):
+        got = range_join(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["k"], slack, width)
+        want = [(a[0], b[0]) for a in left for b in right if a[1] == b[1] and a[2] - slack <= b[3] and b[2] <= a[3] + slack]
+        assert sorted(tuple(r) for r in got.select("l.id", F.col("r.id").alias("r")).collect()) == sorted(want)
+    none = spark.createDataFrame([], schema)
+    assert range_join(none, none, ["k"]).count() == 0 and range_join(spark.createDataFrame(left, schema), none, ["k"]).count() == 0
+
+
 def test_interval_functions(spark):
     df = spark.createDataFrame([(1, 5, 4, 9, "+", "-"), (1, 5, 6, 9, "+", "+"), (1, 5, 9, 9, ".", "+")], "b1 int, e1 int, b2 int, e2 int, s1 string, s2 string")
     c = [F.col(x) for x in ("b1", "e1", "b2", "e2")]
