@@ -21,10 +21,10 @@ def hash_order(name: Column, seed: int) -> Column:
 def shuffled_rank(df: DataFrame, name: str, cls: str, seed: int = 1) -> DataFrame:
     """`df` with shuffle_rank (1, 2, ... within `cls` in hash order) and class_size.
 
-    Numbered by ranges of the hash, so that no class is sorted in one task.
+    Numbered by blocks of the hash order, so that no class is sorted in one task.
     """
     keyed = df.withColumn("_h", hash_order(F.col(name), seed))
-    ranked = number_rows(keyed, [cls], "_h", [name], 1 << (_BITS - 12), "shuffle_rank").drop("_h")
+    ranked = number_rows(keyed, [cls], "_h", [name], name="shuffle_rank").drop("_h")
     sizes = df.groupBy(F.col(cls).alias("_c")).agg(F.count("*").alias("class_size"))
     return ranked.join(sizes, ranked[cls].eqNullSafe(sizes["_c"])).drop("_c")
 

@@ -1,21 +1,54 @@
 """Per-key work when a few keys hold most rows.
 
-Rows are numbered within their key without gathering a key anywhere: the order column
-cuts the table into blocks, each (block, key) is counted, prefix sums of the counts give
-every block the offset of its first row, and the row's number is offset plus its place in
-the block. Numbers cut a key into chunks of equal size, and any result that is a fold over
-the ordered rows of a key is computed per chunk and merged from the chunks' boundary states.
+Rows are numbered within their key without gathering a key anywhere: the table is cut into
+blocks of about equal size along its order, each (block, key) is counted, prefix sums of the
+counts give every block the offset of its first row, and the row's number is offset plus its
+place in the block. Numbers cut a key into chunks of equal size, and any result that is a fold
+over the ordered rows of a key is computed per chunk and merged from the chunks' boundary states.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 BLOCK_ROWS = 1 << 16
 CHUNK_ROWS = 1 << 16
+#: At most so many blocks; of larger tables the blocks are larger.
+MAX_BLOCKS = 1 << 16
+#: Sort keys, a block and besides, from which the blocks' borders are taken. They divide the work
+#: and don't touch the result.
+SAMPLE_A_BLOCK, SAMPLE_BESIDES = 4, 2000
+
+
+def block_borders(rows: DataFrame, at: Column, block_rows: int) -> list:
+    """The first sort keys of all blocks but the first, ascending; a count and a bounded sample of `at`."""
+    n = rows.count()
+    blocks = min(MAX_BLOCKS, -(-n // block_rows))
+    if blocks < 2:
+        return []
+    wanted = SAMPLE_A_BLOCK * blocks + SAMPLE_BESIDES
+    keys = [r.at for r in rows.select(at.alias("at")).sample(min(1.0, wanted / n), 1).orderBy("at").collect()]
+    cuts = [keys[i * len(keys) // blocks] for i in range(1, blocks)] if keys else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+
+
+def with_block(rows: DataFrame, at: Column, borders: list, name: str) -> DataFrame:
+    """`rows` with `name`: how many borders are no greater than `at`, by halving."""
+    out = rows.withColumn(name, F.lit(0))
+    if not borders:
+        return out
+    whole = StructType([StructField("b", ArrayType(rows.select(at.alias("at")).schema["at"].dataType))])
+    table = rows.sparkSession.createDataFrame([(borders,)], whole).select("b").scalar()
+    out = out.withColumn("_at", at).withColumn("_borders", table)
+    for step in (1 << i for i in reversed(range(len(borders).bit_length()))):
+        there = F.col(name) + step
+        passed = (there <= len(borders)) & (F.get("_borders", there - 1) <= F.col("_at"))
+        out = out.withColumn(name, F.col(name) + F.when(passed, step).otherwise(0))
+    return out.drop("_at", "_borders")
 
 
 def number_rows(
@@ -26,20 +59,21 @@ def number_rows(
     block_rows: int = BLOCK_ROWS,
     name: str = "rank",
 ) -> DataFrame:
-    """`df` with `name`: 1, 2, ... within `keys`, by the integral column `order`.
+    """`df` with `name`: 1, 2, ... within `keys`, by the column `order`.
 
-    A block is the range of `block_rows` values of `order`, so with a unique `order` no group
-    of the sort is larger than that. Rows without `order` follow all others, parted by a hash.
-    Rows that agree in `order` follow `ties`; rows that agree in these too are
-    interchangeable and take any of their numbers. Null keys are a key of their own.
+    Rows without `order` follow all others. Rows that agree in `order` follow `ties`, then a hash
+    of all their columns; only rows that agree in these too are in one block for sure, and take
+    any of their numbers. Blocks have about `block_rows` rows, whether `order` is dense, sparse
+    or the same in all rows; their borders are found by two jobs when this is called. Null keys
+    are a key of their own. `df` has no column whose type can't be hashed.
     """
     cols = df.columns
     n = len(keys)
-    late = (1 << 62) + F.pmod(F.xxhash64(*ties) if ties else F.lit(0).cast("long"), F.lit(256))
-    block = F.coalesce(F.floor(F.col(order) / F.lit(block_rows)).cast("long"), late)
-    rows = df.select(F.struct(*cols).alias("row"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], block.alias("_b"))
+    at = F.struct(F.col(f"row.{order}").isNull().alias("z"), F.col(f"row.{order}").alias("o"), *[F.col(f"row.{t}").alias(f"t{i}") for i, t in enumerate(ties)], F.xxhash64("row").alias("h"))
+    rows = df.select(F.struct(*cols).alias("row"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    rows = with_block(rows, at, block_borders(rows, at, block_rows), "_b")
     ks = [f"_k{i}" for i in range(n)]
-    in_block = Window.partitionBy("_b", *ks).orderBy(F.col(f"row.{order}").asc_nulls_last(), *[F.col(f"row.{t}") for t in ties])
+    in_block = Window.partitionBy("_b", *ks).orderBy(at)
     placed = rows.withColumn("_i", F.row_number().over(in_block).cast("long"))
     before = Window.partitionBy(*ks).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
