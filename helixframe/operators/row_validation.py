@@ -82,9 +82,11 @@ def clean_rows(df: DataFrame, line_id: str = "line_id", line: str = "line") -> D
 
     Coordinates that are no whole numbers, and scores of `.` that are no number, become null.
     """
-    failed = failed_rules(df, line_id, line).select(F.col("line_id").alias("_i"), F.col("line").alias("_l"))
-    rows = _lines(df, line_id, line)
-    kept = rows.join(failed, rows["line_id"].eqNullSafe(failed["_i"]) & (rows["line"] == failed["_l"]), "left_anti")
+    # A line is known by its id and 128 bits of hashes, so failed texts aren't shuffled again.
+    marks = [F.xxhash64("line", F.lit(x)) for x in ("a", "b")]
+    failed = failed_rules(df, line_id, line).select(F.col("line_id").alias("_i"), *[m.alias(f"_f{i}") for i, m in enumerate(marks)])
+    rows = _lines(df, line_id, line).select("line_id", "line", *[m.alias(f"_m{i}") for i, m in enumerate(marks)])
+    kept = rows.join(failed, rows["line_id"].eqNullSafe(failed["_i"]) & (rows["_m0"] == failed["_f0"]) & (rows["_m1"] == failed["_f1"]), "left_anti")
     cells = kept.select("line_id", F.split("line", "\t", -1).alias("c"))
     pairs = attribute_pairs(F.get("c", F.lit(8)))
     typed = {"start_pos": lambda c: c.try_cast("long"), "end_pos": lambda c: c.try_cast("long"), "score": lambda c: c.try_cast("double")}

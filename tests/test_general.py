@@ -7,10 +7,11 @@ from datetime import datetime
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helixframe.operators.interval_merge import merge_intervals
-from helixframe.operators.key_balance import number_rows, ordered_key_stats
-from helixframe.operators.orphans import Parent, Referrer, bloom_words, orphan_references, orphan_report
+from helixframe.operators.key_balance import block_borders, number_rows, ordered_key_stats, with_block
+from helixframe.operators.orphans import Parent, Referrer, bloom_words, orphan_references, orphan_report, probed, words_for
 from helixframe.operators.packed_fields import packed_members, split_members
 from helixframe.operators.row_validation import bad_lines, clean_rows, failed_rules
 
@@ -34,6 +35,18 @@ def test_number_rows_hot_key_blocks_and_null_order(spark):
     assert len(got) == len(data)
 
 
+@pytest.mark.parametrize("order", ["id", "xxhash64(id)", "7", "cast(null as long)", "if(id < 900, id, (1L << 62) + id)"])
+def test_blocks_are_even_for_any_order(spark, order):
+    df = spark.range(1000).selectExpr("'hot' as k", f"{order} as o", "id % 50 as t", "id")
+    at = F.struct(F.col("o").alias("o"), F.col("t").alias("t"), F.xxhash64("id").alias("h"))
+    sizes = [r["count"] for r in with_block(df, at, block_borders(df, at, 64), "b").groupBy("b").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) <= 200 and sum(sizes) == 1000
+    got = number_rows(df, ["k"], "o", ["t"], block_rows=64).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 1001))
+    keys = [((r.o is None), r.o or 0, r.t) for r in sorted(got, key=lambda r: r["rank"])]
+    assert keys == sorted(keys)
+
+
 @pytest.mark.parametrize("chunk", [3, 1000])
 def test_ordered_key_stats(spark, chunk):
     rng = random.Random(chunk)
@@ -63,7 +76,8 @@ def test_orphans_against_brute_force(spark):
     recs = [("a", _t(3), _t(8)), ("A ", _t(3), _t(8)), ("B", _t(5), None), ("C", None, _t(10)), ("hot", _t(2), _t(4)), ("hot", _t(9), _t(12)), ("d", _t(19), None)]
     r = spark.createDataFrame(refs, "row_id long, id string, at timestamp_ntz").selectExpr("*", "'x' as slot", "'y' as kind")
     p = spark.createDataFrame(recs, "id string, since timestamp_ntz, until timestamp_ntz")
-    got = orphan_references([Referrer("t", r, "row_id", "at", {"id": "p"})], {"p": Parent(p, "id", "since", "until")}, words=4, hot_rows=20)
+    refer, parent = [Referrer("t", r, "row_id", "at", {"id": "p"})], {"p": Parent(p, "id", "since", "until")}
+    got = orphan_references(refer, parent, hot_rows=20)
     want = []
     for i, x, t in refs:
         key = (x or "").strip().upper()
@@ -75,14 +89,20 @@ def test_orphans_against_brute_force(spark):
         elif t is not None and not any((a is None or a <= t) and (z is None or t < z) for _, a, z in mine):
             want.append(("t", i, "id", "deleted" if any(z is not None and z <= t for _, _, z in mine) else "late"))
     assert rows(got.select("tbl", "row_id", "ref_field", "kind")) == sorted(want, key=repr)
+    for other in (orphan_references(refer, parent, hot_rows=20, few_periods=1), orphan_references(refer, parent, broadcast_words=0)):
+        assert rows(other.select("tbl", "row_id", "ref_field", "kind")) == sorted(want, key=repr)
     assert sum(x.n for x in orphan_report(got).collect()) == len(want)
     empty = orphan_references([Referrer("t", r, "row_id", "at", {"id": "p"})], {"p": Parent(p.limit(0), "id", "since", "until")})
     assert {x.kind for x in empty.collect()} == {"missing"}
     assert orphan_references([Referrer("t", r.limit(0), "row_id", "at", {"id": "p"})], {"p": Parent(p, "id", "since", "until")}).count() == 0
 
 
-def test_bloom_is_bounded(spark):
+def test_bloom_is_bounded_and_proves_orphans_at_any_size(spark):
     assert bloom_words(spark.range(5000).selectExpr("cast(id as string) as k"), "k", 16).count() <= 16
+    for n in (1000, 10_000, 1_000_000):
+        keys, others = spark.range(n).selectExpr("concat('k', id) as k"), spark.range(20_000).selectExpr("concat('o', id) as k")
+        assert probed(others, keys, "k", words_for(n)).where("maybe").count() < 0.05 * 20_000
+        assert probed(keys, keys, "k", words_for(n), 0).where("not maybe").count() == 0
 
 
 GOOD = 'c\ts\texon\t1\t9\t.\t+\t.\tgene_id "g;1"; transcript_id t.1;; note "a b";'
@@ -191,3 +211,13 @@ def test_merge_intervals(spark):
         assert rows(merge_intervals(df, "entity", "s", "e", max_pieces=64, own_widths=own)) == sorted(want, key=repr)
     assert rows(merge_intervals(df.where("entity <> 'far'"), "entity", "s", "e", shard_width=4, max_pieces=16, own_widths=1)) == sorted((w for w in want if w[0] != "far"), key=repr)
     assert merge_intervals(df.limit(0), "entity", "s", "e").count() == 0
+
+
+def test_merge_intervals_at_the_ends_of_long(spark):
+    low, high = -(1 << 63), (1 << 63) - 1
+    data = [("x", 1, 5), ("x", low, 7), ("y", 10, 1 << 61), ("y", (1 << 61) + 1, (1 << 61) + 4), ("z", low, low + 2), ("z", high - 1, high), ("z", high, high), ("all", low, high), ("all", 0, 1), ("w", high - 9, high - 5)]
+    df = spark.createDataFrame(data, "entity string, s long, e long")
+    want = [("x", "block", low, 7), ("y", "block", 10, (1 << 61) + 4), ("z", "block", low, low + 2), ("z", "gap", low + 3, high - 2), ("z", "block", high - 1, high), ("all", "block", low, high), ("w", "block", high - 9, high - 5)]
+    for own in (0, 2, 512):
+        assert rows(merge_intervals(df, "entity", "s", "e", own_widths=own)) == sorted(want, key=repr)
+    assert rows(merge_intervals(df, "entity", "s", "e", shard_width=1000, max_pieces=7)) == sorted(want, key=repr)
