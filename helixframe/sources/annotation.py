@@ -45,9 +45,51 @@ def _with_attrs(rows: DataFrame, pairs: Column, cut: str) -> DataFrame:
     return _once(rows, "attrs", F.map_from_entries(last)).drop("_pairs", "_keys", "_back", "_entries")
 
 
+#: Lines that are no features.
+_SKIPPED = r"^(#|track|browser)"
+
+
+def _cells(lines: DataFrame) -> DataFrame:
+    """(value, c): lines that should be features, and their tab-separated cells."""
+    text = lines.select(F.regexp_replace("value", r"\r+$", "").alias("value"))
+    return text.where((F.trim("value") != "") & ~F.col("value").rlike(_SKIPPED)).select("value", F.split("value", "\t", -1).alias("c"))
+
+
+def _number(i: int) -> Column:
+    return F.get("c", F.lit(i)).try_cast("long")
+
+
+def _numbers(i: int) -> Column:
+    """The whole numbers of a list with commas; null where one isn't."""
+    parts = F.filter(F.split(F.get("c", F.lit(i)), ","), lambda x: F.trim(x) != "")
+    return F.transform(parts, lambda x: F.trim(x).try_cast("long"))
+
+
+def _nine_fault() -> Column:
+    """What keeps a GTF or GFF3 line from being a feature; null if nothing does."""
+    return F.when(F.size("c") != len(COLUMNS), "columns").when(_number(3).isNull() | _number(4).isNull(), "coordinates")
+
+
+def _bed_fault() -> Column:
+    """What keeps a BED line from being a feature; null if nothing does."""
+    sizes, starts = _numbers(10), _numbers(11)
+    listed = (F.size(sizes) == F.size(starts)) & (F.size(sizes) > 0) & F.forall(sizes, lambda x: x.isNotNull()) & F.forall(starts, lambda x: x.isNotNull())
+    return F.when(F.size("c") < 6, "columns").when(_number(1).isNull() | _number(2).isNull(), "coordinates").when((F.size("c") >= 12) & ~listed, "blocks")
+
+
+def rejected_lines(lines: DataFrame, kind: str = "gtf") -> DataFrame:
+    """(value, reason): the lines that `gtf_features`, `gff3_features` or `bed_features` leave out as unreadable.
+
+    `kind` is gtf, gff or bed. Blank lines, comments and track lines are no features and not
+    rejected. reason is columns (not nine; fewer than six for bed), coordinates (no
+    whole numbers) or, for bed, blocks (their lists don't fit). Quoting and ids of GTF lines are
+    judged by `row_validation.failed_rules`.
+    """
+    return _cells(lines).withColumn("reason", _bed_fault() if kind == "bed" else _nine_fault()).where(F.col("reason").isNotNull()).select("value", "reason")
+
+
 def _feature_lines(lines: DataFrame) -> DataFrame:
-    text = lines.select(F.regexp_replace("value", r"\r+$", "").alias("value")).where((F.trim("value") != "") & ~F.col("value").startswith("#") & ~F.col("value").startswith("track"))
-    cells = text.select(F.split("value", "\t", -1).alias("c")).where(F.size("c") >= 9)
+    cells = _cells(lines).where(_nine_fault().isNull())
     return cells.select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(COLUMNS)]).select(
         "chr", "source", "feat_level", F.col("start_pos").try_cast("long").alias("start"), F.col("end_pos").try_cast("long").alias("end"), "score", "strand", "frame", "attributes"
     )
@@ -59,6 +101,7 @@ def gtf_features(lines: DataFrame, levels: Sequence[str] = ("exon",), attributes
     Only `levels` are kept, and no patch or test chromosomes. A row falls if an attribute named
     in `attributes` is there with a value outside the list (rows without it stay), or a column
     named in `columns` has another value. A biotype in column 2 stands for the transcript's.
+    Lines that can't be read are left out; `rejected_lines` has them.
     """
     rows = _feature_lines(lines).where(F.col("feat_level").isin(*levels) & ~F.col("chr").rlike("(PATCH|TEST)$"))
     rows = _with_attrs(rows, attribute_pairs(F.col("attributes")), r"\s").drop("attributes")
@@ -89,18 +132,19 @@ def read_gff3(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bed_features(lines: DataFrame) -> DataFrame:
-    """Exons (transcript_id, chr, strand, score, start, end), 1-based and closed, of BED6 or BED12 lines.
+    """Exons (transcript_id, chr, strand, score, start, end), 1-based and closed, of BED lines of 6 columns or more.
 
-    Lines of a repeated name but the first, by position and then chr, get the suffix _dup1, _dup2, ...
+    Lines of a repeated name but the first, by position and then chr, get the suffix _dup2, _dup3, ...
+    From 12 columns on the last ones are blocks, else the line is one exon.
+    Lines that can't be read are left out; `rejected_lines` has them.
     """
-    cells = lines.where((F.trim("value") != "") & ~F.col("value").rlike("^(#|track|browser)")).select(F.split(F.regexp_replace("value", r"\r+$", ""), "\t").alias("c")).where(F.size("c") >= 6)
-    number = lambda i: F.get("c", F.lit(i)).try_cast("long")
-    rows = cells.select(F.get("c", F.lit(0)).alias("chr"), number(1).alias("from"), number(2).alias("to"), F.get("c", F.lit(3)).alias("name"), F.get("c", F.lit(4)).alias("score"), F.get("c", F.lit(5)).alias("strand"), F.try_element_at("c", F.lit(11)).alias("sizes"), F.try_element_at("c", F.lit(12)).alias("starts"))
-    again = F.col("_nth") - 1
-    rows = number_rows(rows, ["name"], "from", ["chr", "to", "strand"], name="_nth").withColumn("transcript_id", F.concat("name", F.when(again > 0, F.concat(F.lit("_dup"), again)).otherwise("")))
-    numbers = lambda c: F.transform(F.filter(F.split(c, ","), lambda x: x != ""), lambda x: x.cast("long"))
-    blocks = F.when(F.col("starts").isNotNull(), F.arrays_zip(numbers("starts").alias("off"), numbers("sizes").alias("size"))).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("off"), (F.col("to") - F.col("from")).alias("size"))))
-    exons = rows.withColumn("b", F.explode(blocks))
+    cells = _cells(lines).where(_bed_fault().isNull())
+    cell = lambda i, n: F.get("c", F.lit(i)).alias(n)
+    blocks = F.when(F.size("c") >= 12, F.arrays_zip(_numbers(11).alias("off"), _numbers(10).alias("size"))).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("off"), (_number(2) - _number(1)).alias("size"))))
+    rows = cells.select(cell(0, "chr"), _number(1).alias("from"), _number(2).alias("to"), cell(3, "name"), cell(4, "score"), cell(5, "strand"), blocks.alias("blocks"))
+    again = F.when(F.col("_nth") > 1, F.concat(F.lit("_dup"), "_nth")).otherwise("")
+    rows = number_rows(rows, ["name"], "from", ["chr", "to", "strand"], name="_nth").withColumn("transcript_id", F.concat("name", again))
+    exons = rows.withColumn("b", F.explode("blocks"))
     return exons.select("transcript_id", "chr", "strand", "score", (F.col("from") + F.col("b.off") + 1).alias("start"), (F.col("from") + F.col("b.off") + F.col("b.size")).alias("end"))
 
 

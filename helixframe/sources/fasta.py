@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(name, seq): the first word of each header and the letters below it, one row a record."""
-    records = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
-    header = F.substring_index("value", "\n", 1)
-    return records.select(F.regexp_extract(header, r"^\s*(\S+)", 1).alias("name"), F.regexp_replace(F.substring(F.col("value"), F.length(header) + 1, F.length("value")), r"\s", "").alias("seq"))
+    """(name, seq): the first word of each header and the letters below it, one row a record.
+
+    A record begins with `>` at the start of a line; one within a header is part of it. Lines
+    may end in either way; blanks within letters are dropped, a header without letters has none.
+    """
+    records = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")
+    # The separator holds the `>` of all records but a file's first.
+    value = F.regexp_replace("value", r"^\s*>", "")
+    parts = records.select(F.split(value, r"\r?\n|\r", 2).alias("p"))
+    return parts.select(F.regexp_extract(F.get("p", F.lit(0)), r"^\s*(\S+)", 1).alias("name"), F.regexp_replace(F.coalesce(F.get("p", F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
 
 
 def fasta_record() -> Column:

@@ -285,16 +285,30 @@ def test_gtf_gff3_bed_fasta_files(spark, tmp_path):
     assert {(r.transcript_id, r.gene_id) for r in annotation.read_gff3(spark, str(gff)).collect()} == {("t1", "g1"), ("t2", "t2")}
     bed = tmp_path / "a.bed"
     bed.write_text("c\t0\t10\tn\t0\t+\nc\t20\t50\tn\t0\t-\t20\t50\t0\t2\t5,10,\t0,20,\n")
-    assert sorted((r.transcript_id, r.start, r.end) for r in annotation.read_bed(spark, str(bed)).collect()) == [("n", 1, 10), ("n_dup1", 21, 25), ("n_dup1", 41, 50)]
+    assert sorted((r.transcript_id, r.start, r.end) for r in annotation.read_bed(spark, str(bed)).collect()) == [("n", 1, 10), ("n_dup2", 21, 25), ("n_dup2", 41, 50)]
     fa = tmp_path / "a.fa"
-    fa.write_text(">s1 words here\nACG\nTT\n>s2\nGG\n")
+    fa.write_text(">s1 words here a->b\nACG\nTT\n>s2\nGG\n")
     s = fasta.read_fasta(spark, str(fa))
     assert {(r.name, r.seq) for r in s.collect()} == {("s1", "ACGTT"), ("s2", "GG")}
+    (tmp_path / "b.fa").write_bytes(b"\n>s1 desc a->b>c\r\nACGT\r\nA C\r\n>empty\r\n>s2\r\nGG")
+    assert sorted(tuple(r) for r in fasta.read_fasta(spark, str(tmp_path / "b.fa")).collect()) == [("empty", ""), ("s1", "ACGTAC"), ("s2", "GG")]
     fasta.write_fasta(s, str(tmp_path / "fa"))
     assert {(r.name, r.seq) for r in fasta.read_fasta(spark, str(tmp_path / "fa")).collect()} == {("s1", "ACGTT"), ("s2", "GG")}
     assert annotation.format_of("x.gff2") == "gtf" and annotation.format_of("x.fa") == "fasta"
 
 
+def test_lines_that_cannot_be_read(spark):
+    frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "value string")
+    good = 'c\ts\texon\t1\t9\t.\t+\t.\tgene_id "g"; transcript_id "t";'
+    gtf = frame([good, good + "\r", "", "# x", "track y", "c\ts\texon\t1\t9", good + "\tmore", good.replace("\t1\t", "\tone\t"), None])
+    assert annotation.gtf_features(gtf).count() == 2
+    assert sorted(r.reason for r in annotation.rejected_lines(gtf).collect()) == ["columns", "columns", "coordinates"]
+    bed = frame(["c\t0\t9\tn\t0\t+", "c\t0\t9\tn\t0", "c\tx\t9\tm\t0\t+", "c\t0\t9\tm\t0\t+\t0\t9\t0\t2\t3,\t0,5", "c\t0\t9\tm\t0\t+\t0\t9\t0\t2\t3,4,\t0,5,", "browser x"])
+    assert sorted((r.transcript_id, r.start, r.end) for r in annotation.bed_features(bed).collect()) == [("m", 1, 3), ("m", 6, 9), ("n", 1, 9)]
+    assert sorted(r.reason for r in annotation.rejected_lines(bed, "bed").collect()) == ["blocks", "columns", "coordinates"]
+    assert annotation.bed_features(bed.limit(0)).count() == 0 and annotation.rejected_lines(bed.limit(0)).count() == 0
+
+
 def test_roundtrip_counts_every_feature(spark, tmp_path):
     attrs = ['gene_id "g"; transcript_id "t"; tag "x; y";', 'gene_id "g"; tag "x";', 'transcript_id "t";', 'gene_id ""; transcript_id "t";', "", 'gene_id "g"; transcript_id "t"; note "a "b" c";', 'gene_id "g"; transcript_id "t"; note a"b"; tag "x";']
     lines = [(f"c\ts\texon\t{i}\t9\t.\t+\t.\t{a}",) for i, a in enumerate([*attrs, attrs[1]])]
