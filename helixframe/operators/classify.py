@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import operator
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.intervals import gap_distance, overlaps
@@ -10,6 +14,8 @@ from helixframe.operators.range_join import range_join
 from helixframe.operators.transcripts import introns
 
 WINDOW, MAX_WINDOW = 10_000, 100_000
+#: What is written where a strand isn't known.
+UNKNOWN_DIRECTION, UNKNOWN_FACING = "strand_unknow", "unknow strand(s)"
 _SPAN = ["transcript_id", "gene_id", "strand", "start", "end"]
 
 
@@ -40,20 +46,19 @@ def exon_relations(lnc_exons: DataFrame, partner_exons: DataFrame, partners: Dat
 
     exon_overlap is the shared length of all exon pairs; rank_overlap, by which best partners
     are chosen, sums the earlier end less the earlier start. intronic: every exon of the
-    lncRNA that touches the partner's span lies within one of its introns.
+    lncRNA that touches the partner's span lies within one of its introns. Spans, exons and
+    introns of the partners meet the lncRNAs' exons in one join.
     """
     cut = lambda d: _chr_lowered(d).select("chr", "transcript_id", "start", "end")
-    mine = cut(lnc_exons)
-    ids = [F.col("l.transcript_id").alias("l_id"), F.col("r.transcript_id").alias("r_id")]
-    low, high = F.least("l.end", "r.end"), F.greatest("l.start", "r.start")
-    shared = range_join(mine, cut(partner_exons), ["chr"]).groupBy(*ids).agg(F.sum(low - high + 1).alias("exon_overlap"), F.sum(low - F.least("l.start", "r.start")).alias("rank_overlap"))
-    touching = range_join(mine, cut(partners), ["chr"]).groupBy(*ids).agg(F.count("*").alias("touching"))
-    inside = range_join(mine, cut(introns(partner_exons)), ["chr"]).where("l.start >= r.start and l.end <= r.end").groupBy(*ids).agg(F.count("*").alias("inside"))
-    return (
-        touching.join(shared, ["l_id", "r_id"], "left")
-        .join(inside, ["l_id", "r_id"], "left")
-        .select("l_id", "r_id", F.coalesce("exon_overlap", F.lit(0)).alias("exon_overlap"), F.coalesce("rank_overlap", F.lit(0)).alias("rank_overlap"), F.col("exon_overlap").isNotNull().alias("exonic"), (F.col("touching") == F.coalesce("inside", F.lit(0))).alias("intronic"))
+    parts = [cut(d).withColumn("part", F.lit(n)) for n, d in (("span", partners), ("exon", partner_exons), ("intron", introns(partner_exons)))]
+    pairs = range_join(cut(lnc_exons), reduce(DataFrame.unionByName, parts), ["chr"])
+    part, low, high = F.col("r.part"), F.least("l.end", "r.end"), F.greatest("l.start", "r.start")
+    of = lambda c: F.sum(F.when(part == "exon", c))
+    inside = (part == "intron") & (F.col("l.start") >= F.col("r.start")) & (F.col("l.end") <= F.col("r.end"))
+    sums = pairs.groupBy(F.col("l.transcript_id").alias("l_id"), F.col("r.transcript_id").alias("r_id")).agg(
+        of(low - high + 1).alias("exon_overlap"), of(low - F.least("l.start", "r.start")).alias("rank_overlap"), F.count_if(part == "span").alias("touching"), F.count_if(inside).alias("inside")
     )
+    return sums.select("l_id", "r_id", F.coalesce("exon_overlap", F.lit(0)).alias("exon_overlap"), F.coalesce("rank_overlap", F.lit(0)).alias("rank_overlap"), F.col("exon_overlap").isNotNull().alias("exonic"), (F.col("touching") == F.col("inside")).alias("intronic"))
 
 
 def interactions(lnc: DataFrame, lnc_exons: DataFrame, partners: DataFrame, partner_exons: DataFrame, window: int = WINDOW, max_window: int = MAX_WINDOW) -> DataFrame:
@@ -70,10 +75,10 @@ def interactions(lnc: DataFrame, lnc_exons: DataFrame, partners: DataFrame, part
     pairs = pairs.join(exon_relations(lnc_exons, partner_exons, partners), ["l_id", "r_id"], "left")
     genic = overlaps(F.col("lb"), F.col("le"), F.col("rb"), F.col("re"))
     unknown = ~(F.col("ls").isin("+", "-") & F.col("rs").isin("+", "-"))
-    direction = F.when(unknown, "strand_unknow").when(F.col("ls") == F.col("rs"), "sense").otherwise("antisense")
+    direction = F.when(unknown, UNKNOWN_DIRECTION).when(F.col("ls") == F.col("rs"), "sense").otherwise("antisense")
     upstream = F.when(F.col("rs") == "+", ~(F.col("lb") > F.col("re"))).when(F.col("rs") == "-", F.col("lb") > F.col("re")).otherwise(False)
     status = F.when((F.col("lb") <= F.col("rb")) & (F.col("le") >= F.col("re")), "containing").when((F.col("rb") <= F.col("lb")) & (F.col("re") >= F.col("le")), "nested").otherwise("overlapping")
-    faced = F.when(F.col("direction") == "sense", "same_strand").when(F.col("direction") == "strand_unknow", "unknow strand(s)").when(upstream, "divergent").otherwise("convergent")
+    faced = F.when(F.col("direction") == "sense", "same_strand").when(F.col("direction") == UNKNOWN_DIRECTION, UNKNOWN_FACING).when(upstream, "divergent").otherwise("convergent")
     place = F.when(F.col("exonic"), "exonic").when(F.coalesce("intronic", F.lit(True)), "intronic").otherwise("none")
     described = pairs.withColumn("genic", genic).withColumn("direction", direction).select(
         F.col("l_gene").alias("lncrna_gene"),
@@ -102,19 +107,48 @@ def unmatched(lnc: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def classifier_summary(lnc: DataFrame, partners: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row: lncRNAs, partners, interactions and lncRNAs without one."""
-    count = lambda d, n: d.agg(F.count("*").alias(n))
-    return lnc.agg(
-        F.count("*").alias("n_lncrnas"),
-        F.max(count(partners, "n").scalar()).alias("n_partners"),
-        F.max(count(pairs, "n").scalar()).alias("n_interactions"),
-        F.max(count(unmatched(lnc, pairs), "n").scalar()).alias("n_unmatched"),
+    """One row: lncRNAs, partners, interactions and lncRNAs without one. `pairs` is read once."""
+    found = pairs.groupBy(F.col("lncrna_transcript").alias("transcript_id")).agg(F.count("*").alias("n"))
+    n_partners = partners.agg(F.count("*")).scalar()
+    return lnc.select("transcript_id").join(found, "transcript_id", "left").agg(
+        F.count("*").alias("n_lncrnas"), F.max(n_partners).alias("n_partners"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_interactions"), F.count_if(F.col("n").isNull()).alias("n_unmatched")
     )
 
 
-def select_interactions(pairs: DataFrame, rel_type: str | None = None, direction: str | None = None, subtype: str | None = None, distance: tuple[int, int] | None = None) -> DataFrame:
-    """Interactions that meet all of the given conditions; distance is a closed range."""
-    for name, wanted in (("rel_type", rel_type), ("direction", direction), ("subtype", subtype)):
-        if wanted is not None:
-            pairs = pairs.where(F.col(name) == wanted)
-    return pairs.where(F.col("distance").between(*distance)) if distance else pairs
+#: How a distance may be compared.
+COMPARISONS = {"eq": operator.eq, "lt": operator.lt, "le": operator.le, "gt": operator.gt, "ge": operator.ge}
+#: On which side of an interaction an id is looked for.
+SIDES = {1: ["lncrna_transcript"], 2: ["partnerrna_transcript"], 3: ["lncrna_transcript", "partnerrna_transcript"]}
+
+
+def select_interactions(
+    pairs: DataFrame, rel_type: str | None = None, direction: str | None = None, subtype: str | None = None, distance: tuple[int, int] | None = None,
+    compared: tuple[str, int] | None = None, transcript: str | None = None, side: int = 3, nested: bool | None = None, divergent: bool | None = None, tags: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Interactions that meet all of the given conditions.
+
+    distance is a closed range, compared such as ("lt", 400); transcript is looked for on `side`
+    1 (lncRNA), 2 (partner) or 3 (either), as spelled there; nested and divergent ask for that
+    subtype, or for none of it; tags are columns and the values they must have. A null where a
+    condition asks for a value doesn't meet it.
+    """
+    wanted = {"rel_type": rel_type, "direction": direction, "subtype": subtype, **(tags or {})}
+    for name, value in wanted.items():
+        if value is not None:
+            pairs = pairs.where(F.col(name) == F.lit(value))
+    if distance:
+        pairs = pairs.where(F.col("distance").between(*distance))
+    if compared:
+        pairs = pairs.where(COMPARISONS[compared[0]](F.col("distance"), F.lit(compared[1])))
+    if transcript is not None:
+        pairs = pairs.where(reduce(Column.__or__, [F.coalesce(F.col(c) == transcript, F.lit(False)) for c in SIDES[side]]))
+    for name, asked in (("nested", nested), ("divergent", divergent)):
+        if asked is not None:
+            pairs = pairs.where((F.col("subtype") == name) == F.lit(asked))
+    return pairs
+
+
+def selected_partners(pairs: DataFrame, side: int = 2) -> DataFrame:
+    """(transcript_id): the distinct transcripts on side 1 or 2 of the interactions."""
+    name = SIDES[side][0]
+    return pairs.where(F.col(name).isNotNull()).select(F.col(name).alias("transcript_id")).distinct()

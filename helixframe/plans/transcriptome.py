@@ -15,6 +15,7 @@ from helixframe.operators import feature_search as search
 from helixframe.operators import transcripts as tx
 from helixframe.operators.range_join import range_join
 from helixframe.operators.simulate import intergenic_places
+from helixframe.session import shared_checkpoint
 from helixframe.sources.annotation import gtf_features, gtf_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,12 @@ def _tx(spark: SparkSession, d: str) -> DataFrame:
     return tx.transcript_rollup(_exons(spark, d))
 
 
+def _both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(exons, transcripts) for queries that use them several times: gtf is read for them once."""
+    exons = shared_checkpoint(_exons(spark, d))
+    return exons, tx.transcript_rollup(exons)
+
+
 def _coding(df: DataFrame) -> DataFrame:
     return df.where("biotype = 'protein_coding'")
 
@@ -126,16 +133,25 @@ def mono_exonic(spark: SparkSession, d: str) -> DataFrame:
     return tx.exons_between(_tx(spark, d)).select("transcript_id")
 
 
-@_query(f"""with {EXONS}, p as (select transcript_id, chr, strand, string_agg(s || '-' || e, ',' order by s, e) p from exons group by all),
+TWINS = """twins as (select transcript_id, chr, strand, s, e from exons union all select transcript_id || '_TWIN', chr, strand, s, e from exons),
+itwins as (select transcript_id, chr, strand, s, e from introns union all select transcript_id || '_TWIN', chr, strand, s, e from introns)"""
+
+
+def _with_twins(exons: DataFrame) -> DataFrame:
+    """Every transcript twice, as when an assembly is loaded again under other ids."""
+    return exons.unionByName(exons.withColumn("transcript_id", F.concat("transcript_id", F.lit("_TWIN"))))
+
+
+@_query(f"""with {EXONS}, {TWINS}, p as (select transcript_id, chr, strand, string_agg(s || '-' || e, ',' order by s, e) p from twins group by all),
   k as (select transcript_id, min(transcript_id) over (partition by chr, strand, p) kept_id from p) select * from k where transcript_id <> kept_id""")
 def dedup_same_exons(spark: SparkSession, d: str) -> DataFrame:
-    return tx.same_structure(_exons(spark, d))
+    return tx.same_structure(_with_twins(_exons(spark, d)))
 
 
-@_query(f"""with {EXONS}, p as (select transcript_id, chr, strand, string_agg(s || '-' || e, ',' order by s, e) p from introns group by all),
+@_query(f"""with {EXONS}, {TWINS}, p as (select transcript_id, chr, strand, string_agg(s || '-' || e, ',' order by s, e) p from itwins group by all),
   k as (select transcript_id, min(transcript_id) over (partition by chr, strand, p) kept_id from p) select * from k where transcript_id <> kept_id""")
 def dedup_same_introns(spark: SparkSession, d: str) -> DataFrame:
-    return tx.same_structure(tx.introns(_exons(spark, d)))
+    return tx.same_structure(tx.introns(_with_twins(_exons(spark, d))))
 
 
 @_query(f"""with {EXONS} select transcript_id, case when size < 200 then 'size' when n_exons = 1 then 'mono_exonic' when n_exons = 2 and smallest_exon < 25 then 'bi_exonic' end drop_reason from ct""")
@@ -146,49 +162,57 @@ def filter_reasons(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"""with {EXONS}, {OVERLAP} select transcript_id, case when size < 200 then 'size' when n_exons = 1 then 'mono_exonic' when n_exons = 2 and smallest_exon < 25 then 'bi_exonic'
   when transcript_id in (select transcript_id from ov) then 'overlap' end drop_reason from ct""")
 def filter_candidates(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+    ex, t = _both(spark, d)
     return cand.filter_candidates(_lnc(ex), _lnc(t), _coding(ex)).select("transcript_id", "drop_reason")
 
 
 @_query(f"with {EXONS}, {OVERLAP} select * from ov")
 def overlap_sum(spark: SparkSession, d: str) -> DataFrame:
-    ex = _exons(spark, d)
+    ex, _ = _both(spark, d)
     return cand.exon_overlaps(_lnc(ex), _coding(ex))
 
 
 @_query(f"with {EXONS}, {OVERLAP} select transcript_id, other_id, round(overlap / size, 6) fraction from ov join ct using (transcript_id) where overlap / size > 0.2")
 def overlap_fraction(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+    ex, t = _both(spark, d)
     return cand.overlap_fractions(_lnc(ex), _lnc(t), _coding(ex), 0.2).select("transcript_id", "other_id", F.round("fraction", 6).alias("fraction"))
 
 
 @_query(f"with {EXONS}, {OVERLAP} select transcript_id from ct where transcript_id not in (select transcript_id from ov join ct using (transcript_id) where overlap / size > 0.2)")
 def overlap_fraction_anti(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+    ex, t = _both(spark, d)
     return cand.unannotated(_lnc(ex), _lnc(t), _coding(ex), 0.2).select("transcript_id")
 
 
 @_query(f"with {EXONS}, {OVERLAP} select distinct transcript_id from ov")
 def overlap_semi(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+    ex, t = _both(spark, d)
     return cand.annotated(_lnc(ex), _lnc(t), _coding(ex))
 
 
+@_query(f"""with {EXONS}, h as (select a.transcript_id || '.' || a.s || '.' || a.e transcript_id, bool_or(a.strand = b.strand) sense from ce a
+  join ae b on a.chr = b.chr and a.s <= b.e and b.s <= a.e and a.strand in ('+', '-') and b.strand in ('+', '-') group by 1) select transcript_id from h where not sense""")
+def antisense_single_exons(spark: SparkSession, d: str) -> DataFrame:
+    """The same of every exon of the candidates, as a transcript of its own."""
+    ex, _ = _both(spark, d)
+    single = _lnc(ex).withColumn("transcript_id", F.concat_ws(".", "transcript_id", "start", "end"))
+    return cand.antisense_mono_exonic(single, tx.transcript_rollup(single), _coding(ex))
+
+
 @_query(f"""with {EXONS}, h as (select a.transcript_id, bool_or(a.strand = b.strand) sense from ce a join ct t on a.transcript_id = t.transcript_id and t.n_exons = 1
   join ae b on a.chr = b.chr and a.s <= b.e and b.s <= a.e and a.strand in ('+', '-') and b.strand in ('+', '-') group by 1) select transcript_id from h where not sense""")
 def antisense_monoexonic(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+    ex, t = _both(spark, d)
     return cand.antisense_mono_exonic(_lnc(ex), _lnc(t), _coding(ex))
 
 
 @_query(f"""with {EXONS} select transcript_id from ct a where not exists (select 1 from at_ b where a.chr = b.chr and a.strand = b.strand and a.strand in ('+', '-') and a.s <= b.e and b.s <= a.e)""")
 def linconly_span(spark: SparkSession, d: str) -> DataFrame:
-    t = _tx(spark, d)
+    _, t = _both(spark, d)
     return cand.intergenic_only(_lnc(t), _coding(t)).select("transcript_id")
 
 
-def _matches(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+def _matches(ex: DataFrame, t: DataFrame) -> DataFrame:
     return cand.reciprocal_matches(_lnc(ex), _lnc(t), _coding(ex), _coding(t), 0.1)
 
 
@@ -198,18 +222,18 @@ _MATCHES = f"""{EXONS}, {OVERLAP}, m as (select a.transcript_id a_id, b.transcri
 
 @_query(f"with {_MATCHES} select a_id, b_id, round(fa, 6) fraction_a, round(fb, 6) fraction_b from m")
 def reciprocal_overlap(spark: SparkSession, d: str) -> DataFrame:
-    return _matches(spark, d).select("a_id", "b_id", F.round("fraction_a", 6).alias("fraction_a"), F.round("fraction_b", 6).alias("fraction_b"))
+    return _matches(*_both(spark, d)).select("a_id", "b_id", F.round("fraction_a", 6).alias("fraction_a"), F.round("fraction_b", 6).alias("fraction_b"))
 
 
 @_query(f"""with {_MATCHES} select distinct a_id transcript_id, 'common' origin from m union all select transcript_id, 'only_a' from ct where transcript_id not in (select a_id from m)
   union all select transcript_id, 'only_b' from at_ where transcript_id not in (select b_id from m)""")
 def compare_sets(spark: SparkSession, d: str) -> DataFrame:
-    t = _tx(spark, d)
-    return cand.compare_sets(_matches(spark, d), _lnc(t), _coding(t))
+    ex, t = _both(spark, d)
+    return cand.compare_sets(_matches(ex, t), _lnc(t), _coding(t))
 
 
 def _spans(spark: SparkSession, d: str) -> DataFrame:
-    t = _tx(spark, d).where("chr <> ''")
+    t = shared_checkpoint(_tx(spark, d).where("chr <> ''"))
     cut = lambda x: x.select("transcript_id", "chr", "start", "end")
     return range_join(cut(_lnc(t)), cut(_coding(t)), ["chr"])
 
@@ -261,37 +285,37 @@ pairs as (select lg lncrna_gene, l_id lncrna_transcript, rg partnerrna_gene, r_i
 best as (select *, cast(row_number() over (partition by lncrna_transcript order by rel_type = 'genic' desc, rank_overlap desc, distance, partnerrna_transcript) = 1 as int) is_best from pairs)"""
 
 
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    ex, t = _exons(spark, d), _tx(spark, d)
+def _pairs(ex: DataFrame, t: DataFrame) -> DataFrame:
     return classify.interactions(_lnc(t), _lnc(ex), _coding(t), _coding(ex))
 
 
 @_query(f"with {STEPS} select l_id lncrna_transcript, r_id partnerrna_transcript, gap, step from kept")
 def window_expand(spark: SparkSession, d: str) -> DataFrame:
-    t = _tx(spark, d)
+    t = shared_checkpoint(_tx(spark, d))
     return classify.neighbours(_lnc(t), _coding(t)).select(F.col("l.transcript_id").alias("lncrna_transcript"), F.col("r.transcript_id").alias("partnerrna_transcript"), "gap", "step")
 
 
 @_query(f"with {PAIRS} select * from best")
 def classify_interactions(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d)
+    return _pairs(*_both(spark, d))
 
 
 @_query(f"with {PAIRS} select * exclude (is_best) from best where is_best = 1")
 def best_partner(spark: SparkSession, d: str) -> DataFrame:
-    return classify.best_interactions(_pairs(spark, d)).drop("is_best")
+    return classify.best_interactions(_pairs(*_both(spark, d))).drop("is_best")
 
 
 @_query(f"with {STEPS} select transcript_id lncrna_transcript from ct where transcript_id not in (select l_id from kept)")
 def unmatched_lnc(spark: SparkSession, d: str) -> DataFrame:
-    return classify.unmatched(_lnc(_tx(spark, d)), _pairs(spark, d))
+    ex, t = _both(spark, d)
+    return classify.unmatched(_lnc(t), _pairs(ex, t))
 
 
 @_query(f"""with {STEPS} select (select count(*) from ct) n_lncrnas, (select count(*) from at_) n_partners, (select count(*) from kept) n_interactions,
   (select count(*) from ct where transcript_id not in (select l_id from kept)) n_unmatched""")
 def classifier_summary(spark: SparkSession, d: str) -> DataFrame:
-    t = _tx(spark, d)
-    return classify.classifier_summary(_lnc(t), _coding(t), _pairs(spark, d))
+    ex, t = _both(spark, d)
+    return classify.classifier_summary(_lnc(t), _coding(t), _pairs(ex, t))
 
 
 # Collections of interactions, over the classifier's own table ---------------------------------
@@ -312,6 +336,53 @@ def interactions_selected(spark: SparkSession, d: str) -> DataFrame:
     return classify.select_interactions(_table(spark, d), "intergenic", "antisense", None, (100, 5000)).select("inter_id", "distance")
 
 
+for _op, _sign in (("eq", "="), ("lt", "<"), ("le", "<="), ("gt", ">"), ("ge", ">=")):
+    _limit = 0 if _op == "eq" else 4000
+
+    def _compared(spark: SparkSession, d: str, op: str = _op, limit: int = _limit) -> DataFrame:
+        return classify.select_interactions(_table(spark, d), compared=(op, limit)).select("inter_id", "distance")
+
+    _compared.__name__ = f"interactions_{_op}"
+    _query(f"select inter_id, distance from interactions where distance {_sign} {_limit}")(_compared)
+
+
+@_query("select inter_id from interactions where subtype = 'nested' union all select inter_id from interactions where subtype = 'divergent' and direction = 'antisense'")
+def interactions_nested_divergent(spark: SparkSession, d: str) -> DataFrame:
+    t = _table(spark, d)
+    return classify.select_interactions(t, nested=True).unionByName(classify.select_interactions(t, direction="antisense", divergent=True)).select("inter_id")
+
+
+@_query("select inter_id from interactions where rel_location = 'exonic' and isbest = 1 and subtype <> 'nested'")
+def interactions_tagged(spark: SparkSession, d: str) -> DataFrame:
+    return classify.select_interactions(_table(spark, d), nested=False, tags={"rel_location": "exonic", "isbest": 1}).select("inter_id")
+
+
+_BUSIEST = "(select {c} from interactions where {c} is not null group by 1 order by count(*) desc, 1 limit 1)"
+
+
+def _of_busiest(side: int) -> None:
+    cols = classify.SIDES[side]
+    match = " or ".join(f"coalesce({c} = {_BUSIEST.format(c=cols[0])}, false)" for c in cols)
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        t = _table(spark, d)
+        busiest = t.where(F.col(cols[0]).isNotNull()).groupBy(F.col(cols[0]).alias("id")).count().orderBy(F.desc("count"), "id").first()
+        return classify.select_interactions(t, transcript=busiest.id if busiest else "", side=side).select("inter_id")
+
+    run.__name__ = f"interactions_of_side{side}"
+    run.__doc__ = "The interactions of the transcript that has most on its side."
+    _query(f"select inter_id from interactions where {match}")(run)
+
+
+for _side in classify.SIDES:
+    _of_busiest(_side)
+
+
+@_query("select distinct partnerrna_transcript transcript_id from interactions where rel_type = 'genic' and partnerrna_transcript is not null")
+def genic_partners(spark: SparkSession, d: str) -> DataFrame:
+    return classify.selected_partners(classify.select_interactions(_table(spark, d), "genic"))
+
+
 @_query(f"select {_KEY} from interactions where rel_type = 'genic' union select {_KEY} from interactions where isbest = 1")
 def interaction_union(spark: SparkSession, d: str) -> DataFrame:
     t = _table(spark, d)
