@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from helixframe.functions.intervals import gap_distance, overlaps
 from helixframe.operators.range_join import range_join
 from helixframe.operators.transcripts import introns
+from helixframe.session import shared_checkpoint
 
 WINDOW, MAX_WINDOW = 10_000, 100_000
 #: What is written where a strand isn't known.
@@ -51,7 +52,8 @@ def exon_relations(lnc_exons: DataFrame, partner_exons: DataFrame, partners: Dat
     """
     cut = lambda d: _chr_lowered(d).select("chr", "transcript_id", "start", "end")
     parts = [cut(d).withColumn("part", F.lit(n)) for n, d in (("span", partners), ("exon", partner_exons), ("intron", introns(partner_exons)))]
-    pairs = range_join(cut(lnc_exons), reduce(DataFrame.unionByName, parts), ["chr"])
+    # Introns are dear to find, and the join reads its sides twice.
+    pairs = range_join(cut(lnc_exons), shared_checkpoint(reduce(DataFrame.unionByName, parts)), ["chr"])
     part, low, high = F.col("r.part"), F.least("l.end", "r.end"), F.greatest("l.start", "r.start")
     of = lambda c: F.sum(F.when(part == "exon", c))
     inside = (part == "intron") & (F.col("l.start") >= F.col("r.start")) & (F.col("l.end") <= F.col("r.end"))

@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import reverse_complement
+from helixframe.operators.interval_merge import merge_intervals
 
 CHUNK = 1 << 16
 
 
+def runs_of(seq: str, width: int, overlap: int = 0) -> Column:
+    """Array of the runs of `width` letters of `seq`, each with the next `overlap` ones, cut in one pass."""
+    inner = f"(?s)(?=(.{{1,{width + overlap}}})).{{1,{width}}}"
+    return F.regexp_extract_all(seq, F.lit(inner), F.lit(1))
+
+
 def genome_chunks(genome: DataFrame, seq_id: str, seq: str, chunk: int = CHUNK) -> DataFrame:
     """(chr, chunk_no, chunk_seq): sequences cut into pieces of equal length, numbered from 0."""
-    n = F.greatest(F.lit(0), F.ceil(F.length(seq) / chunk).cast("int") - 1)
-    return genome.where(F.length(seq) > 0).select(F.col(seq_id).alias("chr"), F.col(seq).alias("s"), F.explode(F.sequence(F.lit(0), n)).alias("chunk_no")).select("chr", "chunk_no", F.substring("s", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("chunk_seq"))
+    return genome.where(F.length(seq) > 0).select(F.col(seq_id).alias("chr"), F.posexplode(runs_of(seq, chunk)).alias("chunk_no", "chunk_seq"))
 
 
 def feature_sequences(features: DataFrame, chunks: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -41,32 +47,80 @@ def cdna(features: DataFrame, chunks: DataFrame, chunk: int = CHUNK) -> DataFram
     return joined.withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
 
 
+#: Levels that make up a transcript's coding part, and those that aren't exons.
+CODING_LEVELS = r"(?i)(CDS|stop_codon)"
+NO_EXON_LEVELS = r"(?i)(CDS|stop_codon|start_codon)"
+
+
+def rna_features(features: DataFrame) -> DataFrame:
+    """The features (with feat_level) that make up the whole RNA: all but coding parts and codons."""
+    return features.where(~F.col("feat_level").rlike(NO_EXON_LEVELS))
+
+
+def coding_features(features: DataFrame) -> DataFrame:
+    """The coding parts and stop codons of transcripts that have at least one coding part.
+
+    A stop codon within a coding part is there once: parts that touch or overlap are joined.
+    """
+    with_cds = features.where(F.col("feat_level").rlike("(?i)CDS")).select("transcript_id").distinct()
+    kept = features.where(F.col("feat_level").rlike(CODING_LEVELS)).join(with_cds, "transcript_id", "left_semi")
+    whose = F.struct("transcript_id", "chr", "strand")
+    blocks = merge_intervals(kept.select(whose.alias("whose"), "start", "end"), "whose", "start", "end").where("kind = 'block'")
+    return blocks.select("entity.*", F.col("seg_start").alias("start"), F.col("seg_end").alias("end"))
+
+
 #: For each kind of frame whether a start and a stop are needed; kinds 3 and 4 take the longest of several.
 KINDS = {0: (True, True), 1: (True, False), 2: (False, True), 4: (False, False)}
 
 
-def _frames(seq: str) -> tuple[np.ndarray, ...]:
-    """(start, codons, weight, place, is ATG, is stopped) of every way to begin a reading frame.
+def _starts(letters: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
+    """Every way to begin a reading frame in texts that stand one after the other, up to `ends`.
 
     A frame begins with ATG, or with the first codon of its register if that is no stop, and
     goes on to the next stop or the last whole codon. An unfinished codon weighs as one.
     """
-    b = np.frombuffer(seq.encode("ascii", "replace"), np.uint8)
-    a1, g1, t0 = b[1:-1] == 65, b[1:-1] == 71, b[:-2] == 84
-    stop = t0 & ((a1 & ((b[2:] == 65) | (b[2:] == 71))) | (g1 & (b[2:] == 65)))
-    begin = (b[:-2] == 65) & (b[1:-1] == 84) & (b[2:] == 71)
-    found = []
-    for f in range(min(3, len(b) - 2)):
-        stops, starts = np.flatnonzero(stop[f::3]), np.flatnonzero(begin[f::3])
-        n = (len(b) - f) // 3
-        at = np.concatenate([np.zeros(int(not stop[f]), np.int64), starts])
-        atg = np.arange(len(at)) >= len(at) - len(starts)
-        k = np.searchsorted(stops, at, "right")
-        stopped = k < len(stops)
-        codons = np.where(stopped, np.append(stops, n - 1)[k], n - 1) - at + 1
-        start = 3 * at + f + 1
-        found.append((start, codons, codons + (~stopped & ((len(b) - f) % 3 > 0)), np.where(atg, start + 3, start), atg, stopped))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+    sizes = np.diff(ends, prepend=0)
+    first = ends - sizes
+    owner = np.repeat(np.arange(len(ends)), sizes)
+    at = np.arange(len(letters)) - np.repeat(first, sizes)
+    a, g, t = (np.append(letters == ord(x), [False, False]) for x in "AGT")
+    whole = at + 3 <= sizes[owner]
+    n = len(letters)
+    stop = whole & t[:n] & ((a[1 : n + 1] & (a[2 : n + 2] | g[2 : n + 2])) | (g[1 : n + 1] & a[2 : n + 2]))
+    atg = whole & a[:n] & t[1 : n + 1] & g[2 : n + 2]
+    # One number orders places by text, then register, then position.
+    wide = int(sizes.max(initial=0)) + 3
+    key = lambda p: (owner[p] * 3 + at[p] % 3) * wide + at[p]
+    stops = np.sort(key(np.flatnonzero(stop)))
+    opening, met = np.flatnonzero(whole & (at < 3) & ~stop), np.flatnonzero(atg)
+    p = np.concatenate([opening, met])
+    k = key(p)
+    i = np.searchsorted(stops, k)
+    next_stop = np.append(stops, -1)[np.minimum(i, len(stops))]
+    stopped = (i < len(stops)) & (next_stop // wide == k // wide)
+    left = sizes[owner[p]] - at[p]
+    codons = np.where(stopped, (next_stop - k) // 3 + 1, left // 3)
+    is_atg = np.arange(len(p)) >= len(opening)
+    return {"owner": owner[p], "start": at[p] + 1, "codons": codons, "weight": codons + (~stopped & (left % 3 > 0)), "place": at[p] + np.where(is_atg, 4, 1), "atg": is_atg, "stopped": stopped}
+
+
+def _longest(seqs: list[str | None], tried: list[int], min_length: int) -> np.ndarray:
+    """(kind, length, start) of the frame of each text; kind -1 where there is none."""
+    raw = [s.encode("ascii", "replace") if s else b"" for s in seqs]
+    best = np.zeros((len(raw), 3), np.int64)
+    best[:, 0] = -1
+    if not raw:
+        return best
+    s = _starts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw]))
+    for kind in tried:
+        need_start, need_stop = KINDS[kind]
+        fits = np.flatnonzero((s["atg"] | (not need_start)) & (s["stopped"] | (not need_stop)))
+        ranked = fits[np.lexsort((s["place"][fits], -s["weight"][fits], s["owner"][fits]))]
+        who, top = np.unique(s["owner"][ranked], return_index=True)
+        found = np.stack([np.full(len(who), kind), s["codons"][ranked[top]] * 3, s["start"][ranked[top]]], 1)
+        better = (found[:, 1] >= min_length) & (found[:, 1] > best[who, 1])
+        best[who[better]] = found[better]
+    return best
 
 
 def orfs(sequences: DataFrame, kind: int = 3, min_length: int = 6) -> DataFrame:
@@ -79,26 +133,12 @@ def orfs(sequences: DataFrame, kind: int = 3, min_length: int = 6) -> DataFrame:
     """
     tried = {3: [0, 1, 2], 4: [0, 1, 2, 4]}.get(kind, [kind])
 
-    def longest(seq: str | None) -> dict | None:
-        if not seq or len(seq) < 3:
-            return None
-        start, codons, weight, place, atg, stopped = _frames(seq)
-        best = None
-        for k in tried:
-            need_start, need_stop = KINDS[k]
-            at = np.flatnonzero((atg | (not need_start)) & (stopped | (not need_stop)))
-            if len(at):
-                i = at[np.lexsort((place[at], -weight[at]))[0]]
-                if codons[i] * 3 >= min_length and (best is None or codons[i] > best[1]):
-                    best = (k, codons[i], start[i])
-        return best and {"kind": int(best[0]), "length": int(best[1]) * 3, "start": int(best[2])}
-
     @F.pandas_udf("kind int, length int, start int")
     def frame(seq: pd.Series) -> pd.DataFrame:
-        none = {"kind": None, "length": None, "start": None}
-        return pd.DataFrame([longest(s) or none for s in seq], columns=list(none)).astype("Int32")
+        return pd.DataFrame(_longest(seq.tolist(), tried, min_length).astype(np.int32), columns=["kind", "length", "start"])
 
-    found = sequences.select("name", "seq").withColumn("b", frame("seq")).where(F.col("b.kind").isNotNull())
+    # A generated column is worked out once, where the function would be for each use of it.
+    found = sequences.select("name", "seq").withColumn("b", F.explode(F.array(frame("seq")))).where("b.kind >= 0")
     return found.select("name", F.col("b.kind").alias("orf_kind"), F.col("b.start").alias("orf_start"), F.col("b.length").alias("orf_length"), F.substring("seq", F.col("b.start"), F.col("b.length")).alias("orf_seq"), F.length("seq").alias("rna_size"))
 
 
@@ -136,14 +176,13 @@ def genomic_parts(exons: DataFrame, found: DataFrame) -> DataFrame:
 
 
 #: Sequences are cut into runs of about so many k-mers first: taking letters from far inside a long string is slow.
-RUN = 960
+RUN = 240
 
 
 def kmers(sequences: DataFrame, k: int, step: int = 1, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, kmer): every k letters of seq, from the first on in steps; shorter sequences have none."""
     run = max(RUN // step, 1) * step
-    runs = sequences.where(F.length("seq") >= k).select(*keys, "seq", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - k) / run).cast("int"))).alias("run"))
-    pieces = runs.select(*keys, F.substring("seq", F.col("run") * run + 1, F.lit(run + k - 1)).alias("piece"))
+    pieces = sequences.where(F.length("seq") >= k).select(*keys, F.explode(runs_of("seq", run, k - 1)).alias("piece")).where(F.length("piece") >= k)
     at = F.sequence(F.lit(1), F.length("piece") - k + 1, F.lit(step))
     return pieces.select(*keys, "piece", F.explode(at).alias("at")).select(*keys, F.substring("piece", F.col("at"), F.lit(k)).alias("kmer"))
 

@@ -47,7 +47,7 @@ def _tx(spark: SparkSession, d: str) -> DataFrame:
 def _both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(exons, transcripts) for queries that use them several times: gtf is read for them once."""
     exons = shared_checkpoint(_exons(spark, d))
-    return exons, tx.transcript_rollup(exons)
+    return exons, shared_checkpoint(tx.transcript_rollup(exons))
 
 
 def _coding(df: DataFrame) -> DataFrame:

@@ -158,10 +158,41 @@ def test_orfs_equal_brute_force(spark):
     seqs = ["".join(rng.choice("ACGT") for _ in range(rng.randint(3, 90))) for _ in range(250)]
     df = spark.createDataFrame([(str(i), s) for i, s in enumerate(seqs)] + [("null", None), ("none", "")], "name string, seq string")
     for kind, needs in sequences.KINDS.items():
-        got = {r.name: (r.orf_start, r.orf_length) for r in sequences.orfs(df, kind if kind < 4 else 4, 3).collect()} if kind < 4 else {}
-        for i, s in enumerate(seqs if kind < 4 else []):
+        best = sequences._longest([*seqs, None, ""], [kind], 3)
+        for i, s in enumerate(seqs):
             want = brute_orf(s, *needs)
-            assert got.get(str(i)) == (want if want and want[1] >= 3 else None), (kind, s)
+            if kind < 4:
+                assert (tuple(best[i]) if best[i][0] >= 0 else None) == (want and want[1] >= 3 and (kind, want[1], want[0]) or None), (kind, s)
+        assert best[-1][0] == best[-2][0] == -1
+    got = {r.name: (r.orf_kind, r.orf_length) for r in sequences.orfs(df, 3, 3).collect()}
+    for i, s in enumerate(seqs):
+        tried = [(w[1], -k) for k in (0, 1, 2) if (w := brute_orf(s, *sequences.KINDS[k]))]
+        assert got.get(str(i)) == ((-max(tried)[1], max(tried)[0]) if tried else None)
+    assert sequences.orfs(df.limit(0)).count() == 0
+
+
+def test_frames_are_searched_once(spark):
+    df = spark.createDataFrame([("a", "ATGAAATAA")], "name string, seq string")
+    plan = sequences.orfs(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_very_long_sequences(spark):
+    rng = random.Random(2)
+    block = "".join(rng.choice("ACGT") for _ in range(1_000_003))
+    df = spark.createDataFrame([("big", block)], "name string, seq string").select("name", F.repeat("seq", F.lit(8)).alias("seq"))
+    chunks = sequences.genome_chunks(df, "name", "seq")
+    n, letters, last = chunks.agg(F.count("*"), F.sum(F.length("chunk_seq")), F.max("chunk_no")).first()
+    assert (letters, n, last) == (8 * len(block), -(-8 * len(block) // sequences.CHUNK), n - 1)
+    assert sequences.kmer_counts(df, 2).agg(F.sum("n")).first()[0] == 8 * len(block) - 1
+    assert sequences.orfs(df).first().rna_size == 8 * len(block)
+
+
+def test_coding_parts(spark):
+    rows = [("t", "exon", 1, 30), ("t", "CDS", 4, 9), ("t", "CDS", 20, 24), ("t", "stop_codon", 25, 27), ("t", "start_codon", 4, 6), ("u", "exon", 1, 9), ("v", "exon", 2, 8), ("v", "stop_codon", 4, 6)]
+    f = spark.createDataFrame([(t, "c", "+", lv, a, z) for t, lv, a, z in rows], "transcript_id string, chr string, strand string, feat_level string, start long, end long")
+    assert sorted((r.transcript_id, r.start, r.end) for r in sequences.coding_features(f).collect()) == [("t", 4, 9), ("t", 20, 27)]
+    assert sorted((r.transcript_id, r.start) for r in sequences.rna_features(f).collect()) == [("t", 1), ("u", 1), ("v", 2)]
 
 
 def test_cdna_over_chunks(spark):
