@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -119,7 +120,12 @@ def routed(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return rows.join(labels.select(name, "label"), name, "left").withColumn("class", c).drop("label")
 
 
-def fitted_forest(train: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1):
+#: The number of trees of a forest, and how many forests are grown at a time.
+TREES, AT_A_TIME = 500, 4
+DEPTH = 8
+
+
+def fitted_forest(train: DataFrame, features: list[str], label: str, trees: int = TREES, seed: int = 1):
     """A random forest for label 1 against 0. Both weigh the same, however many rows they have;
     rows with a null feature or another label aren't used."""
     from pyspark.ml.classification import RandomForestClassifier
@@ -129,7 +135,7 @@ def fitted_forest(train: DataFrame, features: list[str], label: str, trees: int
     usable = train.where(F.col(label).isin(0, 1)).select(*features, F.col(label).cast("double").alias("_label"))
     sizes = usable.groupBy("_label").count()
     weighted = assembled.transform(usable.join(F.broadcast(sizes), "_label").withColumn("_weight", 1 / F.col("count")))
-    return RandomForestClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", numTrees=trees, featureSubsetStrategy="sqrt", seed=seed).fit(weighted)
+    return RandomForestClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", numTrees=trees, maxDepth=DEPTH, featureSubsetStrategy="sqrt", seed=seed).fit(weighted)
 
 
 def _forest_scores(model, test: DataFrame, features: list[str]) -> DataFrame:
@@ -143,7 +149,7 @@ def _forest_scores(model, test: DataFrame, features: list[str]) -> DataFrame:
     return scored.withColumn("score", F.when(whole, vector_to_array("probability")[1])).drop("_features", "rawPrediction", "probability", "prediction")
 
 
-def forest_predictions(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1) -> DataFrame:
+def forest_predictions(train: DataFrame, test: DataFrame, features: list[str], label: str, trees: int = TREES, seed: int = 1) -> DataFrame:
     """`test` with score: the probability of label 1 by a random forest on `train` (see `fitted_forest`).
 
     Rows with a null feature have a null score.
@@ -151,9 +157,11 @@ def forest_predictions(train: DataFrame, test: DataFrame, features: list[str], l
     return _forest_scores(fitted_forest(train, features, label, trees, seed), test, features)
 
 
-def cross_validated(df: DataFrame, name: str, features: list[str], label: str, n_folds: int = 10, trees: int = 100, seed: int = 1) -> DataFrame:
+def cross_validated(df: DataFrame, name: str, features: list[str], label: str, n_folds: int = 10, trees: int = TREES, seed: int = 1) -> DataFrame:
     """`df` with fold and score, each row scored by a forest on the other folds.
 
+    The forests are grown when this is called, some at a time, over folds written once.
+
     With `cutoff_curve`, `balanced_cutoffs` and `confusion` this gives the cutoff and the
     metrics of each fold. Rows with a null feature have a null score. If the other folds lack
     one of the labels the fold's scores are null.
@@ -162,15 +170,47 @@ def cross_validated(df: DataFrame, name: str, features: list[str], label: str, n
     usable = folded.dropna(subset=features).where(F.col(label).isin(0, 1))
     held = {(r.fold, r[label]): r["count"] for r in usable.groupBy("fold", label).count().collect()}  # two rows a fold
     totals = [sum(n for (_, t), n in held.items() if t == side) for side in (0, 1)]
-    parts = []
-    for fold in range(1, n_folds + 1):
+
+    def scored(fold: int) -> DataFrame:
         rest, mine = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
         known = all(totals[side] > held.get((fold, side), 0) for side in (0, 1))
-        parts.append(forest_predictions(rest, mine, features, label, trees, seed) if known else mine.withColumn("score", F.lit(None).cast("double")))
-    return reduce(DataFrame.unionByName, parts)
+        return forest_predictions(rest, mine, features, label, trees, seed) if known else mine.withColumn("score", F.lit(None).cast("double"))
+
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        return reduce(DataFrame.unionByName, pool.map(scored, range(1, n_folds + 1)))
+
+
+#: The columns of `confusion`.
+METRICS = ["tp", "tn", "fp", "fn", "sen", "spe", "pre", "acc", "f1", "mcc"]
+
+
+def with_mean(metrics: DataFrame, by: str = "fold") -> DataFrame:
+    """`metrics` with `by` as text and a last row `mean` of all columns over the others."""
+    rest = [c for c in metrics.columns if c != by]
+    rows = metrics.select(F.col(by).cast("string").alias(by), *[F.col(c).cast("double").alias(c) for c in rest])
+    return rows.unionByName(rows.agg(F.lit("mean").alias(by), *[F.round(F.avg(c), 6).alias(c) for c in rest]))
+
+
+def label_summary(labels: DataFrame, coding: Column | float, noncoding: Column | float | None = None) -> DataFrame:
+    """One row: the cutoffs, and how many rows of `labels` are lncRNA, mRNA, between (TUCp) and without a label."""
+    as_column = lambda c: c if isinstance(c, Column) else F.lit(c)
+    counts = [F.count_if(F.col("label") == k).alias(f"n_{v.lower()}") for k, v in ROUTES.items()]
+    return labels.agg(*counts, F.count_if(F.col("label").isNull()).alias("n_unlabelled")).select(as_column(coding).alias("coding_cutoff"), as_column(coding if noncoding is None else noncoding).alias("noncoding_cutoff"), "*")
+
+
+def capped(df: DataFrame, name: str, most: int | None = None, least: int = 100, seed: int = 1) -> DataFrame:
+    """The first `most` rows of `df` in an order of hashes; all rows without `most`.
+
+    Fewer than `least` rows are an error, as no model can be learnt from them; they are counted
+    when this is called.
+    """
+    n = df.count()
+    if n < least:
+        raise ValueError(f"{n} sequences to learn from, {least} are needed")
+    return df if most is None or n <= most else df.orderBy(hash_order(F.col(name), seed), name).limit(most)
 
 
-def feature_importances(train: DataFrame, features: list[str], label: str, trees: int = 100, seed: int = 1) -> DataFrame:
+def feature_importances(train: DataFrame, features: list[str], label: str, trees: int = TREES, seed: int = 1) -> DataFrame:
     """(feature, importance) in a forest on `train`; importances sum to 1."""
     model = fitted_forest(train, features, label, trees, seed)
     return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, model.featureImportances.toArray(), strict=True)], "feature string, importance double")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -212,15 +215,53 @@ BROADCAST_KMERS = 4**9
 def kmer_scores(sequences: DataFrame, model: DataFrame, k: int) -> DataFrame:
     """(name, score): the mean ratio of a sequence's k-mers; those the model lacks count 0.5."""
     model = F.broadcast(model) if 4**k <= BROADCAST_KMERS else model
-    own = kmers(sequences, k, 3 if k >= 3 else 1, ("name",)).groupBy("name", "kmer").agg(F.count("*").alias("n"))
+    own = kmers(sequences, k, codon_step(k), ("name",)).groupBy("name", "kmer").agg(F.count("*").alias("n"))
     scored = own.join(model, "kmer", "left").groupBy("name").agg(F.sum(F.coalesce("ratio", F.lit(0.5)) * F.col("n")).alias("s"), F.sum("n").alias("m"))
     return scored.select("name", (F.col("s") / F.col("m")).alias("score"))
 
 
-def feature_matrix(found: DataFrame, models: dict[int, DataFrame]) -> DataFrame:
-    """(name, kmer_score_k..., orf_cover, rna_size) of the sequences with an open reading frame."""
+def codon_step(k: int) -> int:
+    """Frames are read codon by codon, letter by letter if k < 3."""
+    return 3 if k >= 3 else 1
+
+
+def all_kmers(sequences: DataFrame, steps: Mapping[int, int], keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, k, kmer): as `kmers` for several k at once, each with its step (a divisor of RUN)."""
+    pieces = sequences.where(F.length("seq") >= min(steps)).select(*keys, F.explode(runs_of("seq", RUN, max(steps) - 1)).alias("piece"))
+
+    def of(k: int) -> Column:
+        upto = F.least(F.lit(RUN), F.length("piece") - k + 1)
+        at = F.when(upto >= 1, F.sequence(F.lit(1), upto, F.lit(steps[k]))).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(F.lit(k).alias("k"), F.substring("piece", i, F.lit(k)).alias("kmer")))
+
+    return pieces.select(*keys, F.explode(F.concat(*[of(k) for k in steps])).alias("x")).select(*keys, "x.k", "x.kmer")
+
+
+def kmer_models(coding: DataFrame, noncoding: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """(k, kmer, ratio): as `kmer_model` for several k, over `seq` of coding frames and of other sequences."""
+    sides = [(coding, {k: codon_step(k) for k in ks}, "c"), (noncoding, dict.fromkeys(ks, 1), "n")]
+    found = reduce(DataFrame.unionByName, [all_kmers(d, steps).select("k", "kmer", F.lit(n).alias("side")) for d, steps, n in sides])
+    counts = found.groupBy("k", "kmer").agg(F.count_if(F.col("side") == "c").alias("c"), F.count_if(F.col("side") == "n").alias("n"))
+    totals = counts.groupBy("k").agg(F.sum("c").alias("all_c"), F.sum("n").alias("all_n"))  # a row for each k
+    fc, fn = (F.coalesce(F.try_divide(x, f"all_{x}"), F.lit(0.0)) for x in "cn")
+    return counts.join(F.broadcast(totals), "k").select("k", "kmer", (fc / (fc + fn)).alias("ratio"))
+
+
+def feature_matrix(found: DataFrame, model: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """(name, kmer_score_k..., orf_cover, rna_size) of the sequences with an open reading frame.
+
+    `found` has name, orf_seq, orf_length and rna_size, `model` k, kmer and ratio. A score is
+    null where the frame is shorter than k. Names are unique.
+    """
     frames = found.select("name", F.col("orf_seq").alias("seq"))
     out = orf_coverage(found).select("name", "orf_cover", "rna_size")
-    for k, model in models.items():
-        out = out.join(kmer_scores(frames, model, k).withColumnRenamed("score", f"kmer_score_{k}"), "name", "left")
-    return out.select("name", *[f"kmer_score_{k}" for k in models], "orf_cover", "rna_size")
+    # Short k-mers are many rows each, but their models few: these are broadcast.
+    short = [k for k in ks if 4**k <= BROADCAST_KMERS]
+    for some in (short, [k for k in ks if k not in short]):
+        if some:
+            own = all_kmers(frames, {k: codon_step(k) for k in some}, ("name",)).groupBy("name", "k", "kmer").agg(F.count("*").alias("n"))
+            ratios = model.where(F.col("k").isin(*some))
+            met = own.join(F.broadcast(ratios) if some is short else ratios, ["k", "kmer"], "left")
+            mean = lambda k: F.sum(F.when(F.col("k") == k, F.coalesce("ratio", F.lit(0.5)) * F.col("n"))) / F.sum(F.when(F.col("k") == k, F.col("n")))
+            out = out.join(met.groupBy("name").agg(*[mean(k).alias(f"kmer_score_{k}") for k in some]), "name", "left")
+    return out.select("name", *[f"kmer_score_{k}" for k in ks], "orf_cover", "rna_size")

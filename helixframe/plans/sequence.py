@@ -14,8 +14,9 @@ from helixframe.functions import sequence as seqf
 from helixframe.functions.ids import spelled
 from helixframe.operators import coding
 from helixframe.operators import sequences as sq
-from helixframe.operators.simulate import shuffled_sequences
-from helixframe.sources.fasta import fasta_record
+from helixframe.operators.coding_potential import KMERS, CodingPotential, coding_potential, frames_of_sequences, learning_parts
+from helixframe.session import scratch_path, shared_checkpoint
+from helixframe.sources.fasta import fasta_record, read_fasta
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -182,16 +183,16 @@ def kmer_score(spark: SparkSession, d: str) -> DataFrame:
     return sq.kmer_scores(frames, _model(spark, d, 3), 3).withColumn("score", F.round("score", 6))
 
 
-@_query(f"with {_FRAMES}, {_models(2)}, {_models(6)} select name, round(s2.score, 6) kmer_score_2, round(s6.score, 6) kmer_score_6, round(orf_length / rna_size, 6) orf_cover, rna_size from f left join s2 using (name) left join s6 using (name)")
-def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
-    found = sq.orfs(_seqs(spark, d), 3)
-    out = sq.feature_matrix(found, {k: _model(spark, d, k) for k in (2, 6)})
-    return out.select("name", *[F.round(c, 6).alias(c) for c in ("kmer_score_2", "kmer_score_6", "orf_cover")], "rna_size")
+_SCORES = ", ".join(f"round(s{k}.score, 6) kmer_score_{k}" for k in KMERS)
 
 
-@_query()
-def klet_shuffle(spark: SparkSession, d: str) -> DataFrame:
-    return shuffled_sequences(_seqs(spark, d)).select("name", "copy", "seq")
+@_query(f"with {_FRAMES}, {', '.join(_models(k) for k in KMERS)} select name, {_SCORES}, round(orf_length / rna_size, 6) orf_cover, rna_size from f {' '.join(f'left join s{k} using (name)' for k in KMERS)}")
+def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
+    seqs = _seqs(spark, d)
+    found = sq.orfs(seqs, 3)
+    english = found.join(seqs.where("lang = 'en'").select("name"), "name", "left_semi").select(F.col("orf_seq").alias("seq"))
+    out = sq.feature_matrix(found, sq.kmer_models(english, seqs.where("lang <> 'en'").select("seq"), KMERS), KMERS)
+    return out.select("name", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("name", "rna_size")], "rna_size")
 
 
 # Coding potential, over the forest's result table and the registry --------------------------
@@ -289,29 +290,100 @@ def label_counts(spark: SparkSession, d: str) -> DataFrame:
 FEATURES = ["kmerscore_3mer", "kmerscore_6mer", "kmerscore_9mer", "orf_cover", "rna_size"]
 
 
-@_query()
-def rf_predict(spark: SparkSession, d: str) -> DataFrame:
-    rf = spark.read.parquet(f"{d}/rf_result.parquet")
-    return coding.forest_predictions(rf, rf, FEATURES, "label", trees=50).select("tx_name", F.round("score", 6).alias("score"))
-
-
 def _matrix(spark: SparkSession, d: str) -> DataFrame:
     """(name, features, truth): as `_scored`, with the features a forest learns from."""
     rf = spark.read.parquet(f"{d}/rf_result.parquet").groupBy(spelled(F.col("tx_name")).alias("name")).agg(*[F.max(c).alias(c) for c in FEATURES])
     return rf.join(_scored(spark, d).select("name", "truth"), "name")
 
 
+@_query()
+def rf_predict(spark: SparkSession, d: str) -> DataFrame:
+    """Nine of ten transcripts scored by a forest that has learnt from the others alone."""
+    parts = coding.holdout_split(_matrix(spark, d), "name", "truth")
+    return coding.forest_predictions(parts.where("part = 'model'"), parts.where("part = 'forest'"), FEATURES, "truth").select("name", F.round("score", 6).alias("score"))
+
+
 @_query()
 def rf_cross_validation(spark: SparkSession, d: str) -> DataFrame:
-    """Cutoff and metrics of each fold, judged by forests on the other folds."""
-    scored = coding.cross_validated(_matrix(spark, d), "name", FEATURES, "truth", trees=20)
-    cutoffs = coding.balanced_cutoffs(coding.cutoff_curve(scored.select("fold", "score", "truth")))
-    return coding.confusion(coding.labelled(scored.join(cutoffs, "fold"), F.col("cutoff")), ["fold", "cutoff"])
+    """Metrics of each fold, judged by forests on the other folds at the mean of their cutoffs, and their mean."""
+    scored = shared_checkpoint(coding.cross_validated(_matrix(spark, d), "name", FEATURES, "truth"))
+    cutoff = coding.balanced_cutoffs(coding.cutoff_curve(scored.select("fold", "score", "truth"))).agg(F.avg("cutoff")).scalar()
+    return coding.with_mean(coding.confusion(coding.labelled(scored, cutoff), ["fold"]))
 
 
 @_query()
 def rf_importances(spark: SparkSession, d: str) -> DataFrame:
-    return coding.feature_importances(_matrix(spark, d), FEATURES, "truth", trees=20)
+    return coding.feature_importances(_matrix(spark, d), FEATURES, "truth")
+
+
+_MEANS = ", ".join(f"round(avg({c}), 6) {c}" for c in coding.METRICS)
+
+
+@_query(f"""with {CURVE}, l as (select folds.*, cast(score >= (select avg(cutoff) from bal) as int) label from folds), c as (select fold, {_COUNTS} from l where truth in (0, 1) and label in (0, 1) group by 1),
+  m as (select cast(fold as varchar) fold, {_METRICS} from c) select fold, {', '.join(f'cast({c} as double) {c}' for c in coding.METRICS)} from m union all select 'mean', {_MEANS} from m""")
+def metrics_with_mean(spark: SparkSession, d: str) -> DataFrame:
+    folded = shared_checkpoint(coding.cv_folds(_scored(spark, d), "name"))
+    cutoff = coding.balanced_cutoffs(coding.cutoff_curve(folded)).agg(F.avg("cutoff")).scalar()
+    return coding.with_mean(coding.confusion(coding.labelled(folded, cutoff), ["fold"]))
+
+
+@_query(f"with {_TWO} select round((select hi from two), 6) coding_cutoff, round((select lo from two), 6) noncoding_cutoff, count(*) filter (label = 0) n_lncrna, count(*) filter (label = 1) n_mrna, count(*) filter (label = -1) n_tucp, count(*) filter (label is null) n_unlabelled from lab")
+def label_summary(spark: SparkSession, d: str) -> DataFrame:
+    scored = shared_checkpoint(_scored(spark, d))
+    cutoffs = coding.two_cutoffs(coding.cutoff_curve(coding.cv_folds(scored, "name")), 0.95, 0.95)
+    high, low = cutoffs.select("coding_cutoff").scalar(), cutoffs.select("noncoding_cutoff").scalar()
+    return coding.label_summary(coding.labelled(scored, high, low), F.round(high, 6), F.round(low, 6))
+
+
+# The second stage whole: English sequences as coding, German ones as not, all others as candidates ---
+
+
+def _learn_and_test(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    seqs = _seqs(spark, d)
+    others = seqs.where("lang not in ('en', 'de')")
+    return *(frames_of_sequences(x) for x in (seqs.where("lang = 'en'"), seqs.where("lang = 'de'"), others)), others.select("name")
+
+
+_LONG = f"{SEQS}, f as materialized ({_orf_sql({k: _KINDS[k] for k in (0, 1, 2)}).replace('codons * 3 >= 6', f'codons * 3 >= {2 * max(KMERS)}')})"
+_PARTS = f"""{_LONG}, both_sides as (select name, case lang when 'en' then 1 else 0 end truth, cast('0x' || substr(md5(name || '|1'), 1, 12) as bigint) h from f join seqs using (name) where lang in ('en', 'de')),
+parts as (select name, truth, case when row_number() over (partition by truth order by h, name) <= floor(count(*) over (partition by truth) * 0.1) then 'model' else 'forest' end part from both_sides)"""
+
+
+@_query(f"with {_PARTS} select * from parts")
+def codpot_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Which sequences make the k-mer models and which the forest."""
+    coding_frames, other_frames, *_ = _learn_and_test(spark, d)
+    return learning_parts(coding_frames, other_frames).select("name", "truth", "part")
+
+
+@_query(f"with {_LONG} select name, case when f.name is null then 'noORF' else 'scored' end class from (select name from seqs where lang not in ('en', 'de')) left join f using (name)")
+def codpot_reach(spark: SparkSession, d: str) -> DataFrame:
+    """Which candidates have a frame to be scored by."""
+    *_, test, names = _learn_and_test(spark, d)
+    return names.join(test.select("name", F.lit("scored").alias("class")), "name", "left").withColumn("class", F.coalesce("class", F.lit("noORF")))
+
+
+def _codpot(spark: SparkSession, d: str, **options: object) -> CodingPotential:
+    coding_frames, other_frames, test, names = _learn_and_test(spark, d)
+    return coding_potential(coding_frames, other_frames, test, names, least=2, **options)
+
+
+@_query()
+def codpot_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate's class, by the whole second stage."""
+    return _codpot(spark, d).classes
+
+
+@_query()
+def codpot_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics of the folds and their mean, of the same run."""
+    return _codpot(spark, d).metrics
+
+
+@_query()
+def codpot_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Cutoffs and counts where two specificities are asked for."""
+    return _codpot(spark, d, specificities=(0.95, 0.95)).summary
 
 
 @_query(f"with {SEQS} select name, length(seq) n_letters from seqs")
@@ -323,3 +395,24 @@ def sequence_sizes(spark: SparkSession, d: str) -> DataFrame:
 def fasta_records(spark: SparkSession, d: str) -> DataFrame:
     rows = _seqs(spark, d)
     return rows.select("name", fasta_record().alias("record"))
+
+
+@_query(f"with {SEQS} select name, seq from seqs")
+def fasta_read(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences written as FASTA, with a `>` in each header and lines of 60 letters, and read again."""
+    rows = _seqs(spark, d).select(F.concat("name", F.lit(" from->to lang=>"), "lang").alias("name"), F.array_join(sq.runs_of("seq", 60), "\n").alias("seq"))
+    path = scratch_path(spark)
+    rows.select(fasta_record().alias("value")).write.text(path)
+    return read_fasta(spark, path)
+
+
+@_query(f"with {SEQS} select doc_id, round(length(regexp_replace(substr(text, 101, 200), '[^Nn]', '', 'g')) * 100.0 / greatest(1, length(substr(text, 101, 200))), 6) share from documents where length(text) > 100")
+def n_fraction_of_region(spark: SparkSession, d: str) -> DataFrame:
+    """The share of N in letters 101 to 300."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").where(F.length("text") > 100)
+    return docs.select("doc_id", F.round(seqf.percent_of(F.substring("text", 101, 200), "N"), 6).alias("share"))
+
+
+@_query(f"""with {SEQS} select name, left(seq, 3) = 'ATG' starts, right(seq, 3) in ('TAA', 'TAG', 'TGA') stops from seqs""")
+def start_and_stop(spark: SparkSession, d: str) -> DataFrame:
+    return _seqs(spark, d).select("name", seqf.has_start(F.col("seq")).alias("starts"), seqf.has_stop(F.col("seq")).alias("stops"))

@@ -14,7 +14,6 @@ from helixframe.operators import classify, gene_level
 from helixframe.operators import feature_search as search
 from helixframe.operators import transcripts as tx
 from helixframe.operators.range_join import range_join
-from helixframe.operators.simulate import intergenic_places
 from helixframe.session import shared_checkpoint
 from helixframe.sources.annotation import gtf_features, gtf_text
 
@@ -476,13 +475,6 @@ def transcript_lines(spark: SparkSession, d: str) -> DataFrame:
     return tx.with_transcript_rows(_exons(spark, d).withColumn("feat_level", F.lit("exon"))).select("transcript_id", "feat_level", "start", "end")
 
 
-@_query()
-def intergenic_simulation(spark: SparkSession, d: str) -> DataFrame:
-    t = _tx(spark, d)
-    chromosomes = spark.read.parquet(f"{d}/chromosomes.parquet").groupBy(spelled(F.col("chr")).alias("chr")).agg(F.max("seq_len").alias("seq_len"))
-    return intergenic_places(_coding(t), tx.gene_rollup(t), chromosomes)
-
-
 # Search in the feature table -------------------------------------------------------------------
 
 

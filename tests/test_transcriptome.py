@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import intervals as iv
 from helixframe.functions import sequence as seqf
-from helixframe.operators import candidates, classify, coding, gene_level, sequences, simulate, transcripts
+from helixframe.operators import candidates, classify, coding, gene_level, sequences, transcripts
 from helixframe.operators.range_join import range_join
-from helixframe.plans.sequence import klet_shuffle
 from helixframe.plans.transcriptome import gtf_roundtrip
 from helixframe.sources import annotation, fasta
 
@@ -221,24 +220,6 @@ def test_kmers_across_runs(spark):
         assert sorted(r.kmer for r in sequences.kmers(df, k, step).collect()) == sorted(want)
 
 
-def test_shuffles_keep_klets():
-    rng = random.Random(3)
-    for k in (1, 2, 3, 7):
-        s = "".join(rng.choice("ACGT") for _ in range(300))
-        t = simulate.shuffle_klets(s, k, rng)
-        assert sorted(s[i : i + k] for i in range(len(s) - k + 1)) == sorted(t[i : i + k] for i in range(len(t) - k + 1))
-
-
-def test_registered_shuffle_is_whole(spark, tmp_path):
-    rng = random.Random(5)
-    s = "".join(rng.choice("ACGT") for _ in range(4000))
-    spark.createDataFrame([(1, "en", s)], "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    made = klet_shuffle(spark, str(tmp_path)).collect()
-    assert sorted(r.copy for r in made) == [1, 2, 3]
-    lets = lambda x: sorted(x[i : i + 7] for i in range(len(x) - 6))
-    assert all(lets(r.seq) == lets(s) and r.seq != s for r in made)
-
-
 def test_folds_and_split_sizes(spark):
     df = spark.range(95).selectExpr("concat('n', id) as name", "cast(id % 2 as int) as cls")
     sizes = sorted(r["count"] for r in coding.cv_folds(df, "name").groupBy("fold").count().collect())
