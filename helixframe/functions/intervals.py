@@ -36,3 +36,10 @@ def strands_agree(s1: Column, s2: Column, mode: int) -> Column:
         return F.lit(True)
     known = s1.isin("+", "-") & s2.isin("+", "-")
     return F.coalesce(known & ((s1 == s2) if mode == 1 else (s1 != s2)), F.lit(False))
+
+
+def common_part(b1: Column, e1: Column, b2: Column, e2: Column, s1: Column, s2: Column, mode: int = 0) -> Column:
+    """The common part as a struct where the strands agree by `mode`; 0 to 0 if there is none."""
+    both = overlaps(b1, e1, b2, e2) & strands_agree(s1, s2, mode)
+    zero = F.lit(0).cast("long")
+    return F.when(both, F.struct(F.greatest(b1, b2).cast("long").alias("start"), F.least(e1, e2).cast("long").alias("end"))).otherwise(F.struct(zero.alias("start"), zero.alias("end")))

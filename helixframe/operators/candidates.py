@@ -104,3 +104,13 @@ def filter_candidates(exons: DataFrame, transcripts: DataFrame, annotation: Data
         judged = judged.join(kept, "transcript_id", "left")
         reason = F.coalesce(reason, F.when((F.col("n_exons") == 1) & F.col("antisense").isNull(), "mono_exonic"))
     return judged.select(*transcripts.columns, reason.alias("drop_reason"))
+
+
+def on_annotated_chr(transcripts: DataFrame, annotation: DataFrame) -> DataFrame:
+    """The transcripts on a chr that the annotation has as well."""
+    return transcripts.join(annotation.select("chr").distinct(), "chr", "left_semi").select(*transcripts.columns)
+
+
+def filter_log(judged: DataFrame) -> DataFrame:
+    """(drop_reason, n): transcripts that each rule drops, `kept` for those left."""
+    return judged.groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count("*").alias("n"))

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import sequence as seqf
 from helixframe.functions.ids import spelled
-from helixframe.operators import coding
+from helixframe.operators import candidates, coding
 from helixframe.operators import sequences as sq
+from helixframe.operators import transcripts as tx
 from helixframe.operators.coding_potential import KMERS, CodingPotential, coding_potential, frames_of_sequences, learning_parts
+from helixframe.operators.pipeline import annotate
 from helixframe.session import scratch_path, shared_checkpoint
 from helixframe.sources.fasta import fasta_record, read_fasta
 
@@ -59,7 +61,7 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
     """On each sequence, as a chromosome, a transcript of an exon of 60 letters in every 100."""
     at = F.explode(F.sequence(F.lit(0), F.floor(F.length("seq") / 100).cast("int")))
     rows = _seqs(spark, d).select("name", F.length("seq").alias("n"), at.alias("i"))
-    return rows.select(F.col("name").alias("chr"), F.concat(F.lit("T"), "name").alias("transcript_id"), F.when(F.col("n") % 2 == 0, "+").otherwise("-").alias("strand"), (F.col("i") * 100 + 1).alias("start"), (F.col("i") * 100 + 60).alias("end"))
+    return rows.select(F.col("name").alias("chr"), F.concat(F.lit("T"), "name").alias("transcript_id"), F.when(F.col("n") % 2 == 0, "+").otherwise("-").alias("strand"), (F.col("i") * 100 + 1).alias("start"), F.least("n", F.col("i") * 100 + 60).alias("end")).where("start <= end")
 
 
 @_query(f"""with {SEQS}, p as (select name, length(seq) n, seq, unnest(range(0, cast(floor(length(seq) / 100) as bigint) + 1)) i from seqs),
@@ -79,10 +81,10 @@ ended as (select b.name, n, s, place, atg, min(e) e from begins b left join stop
 sized as (select *, e is not null stopped, case when e is not null then (e - s) // 3 + 1 else (n - s + 1) // 3 end codons, case when e is null and (n - s + 1) % 3 > 0 then 1 else 0 end more from ended)"""
 
 
-def _orf_sql(kinds: dict[int, str]) -> str:
+def _orf_sql(kinds: dict[int, str], seqs: str = SEQS) -> str:
     """Kind -> which of the candidates it takes."""
     each = " union all ".join(f"select name, {k} kind, s, codons from (select *, row_number() over (partition by name order by codons + more desc, place) r from sized where {c}) where r = 1 and codons * 3 >= 6" for k, c in kinds.items())
-    return f"with {SEQS}, {_BEST}, tried as ({each}), won as (select * from tried qualify row_number() over (partition by name order by codons desc, kind) = 1) select name, kind orf_kind, s orf_start, codons * 3 orf_length, substr(seq, s, codons * 3) orf_seq, length(seq) rna_size from won join seqs using (name)"
+    return f"with {seqs}, {_BEST}, tried as ({each}), won as (select * from tried qualify row_number() over (partition by name order by codons desc, kind) = 1) select name, kind orf_kind, s orf_start, codons * 3 orf_length, substr(seq, s, codons * 3) orf_seq, length(seq) rna_size from won join seqs using (name)"
 
 
 _KINDS = {0: "atg and place <> s and stopped", 1: "atg and place <> s", 2: "stopped", 4: "true"}
@@ -126,11 +128,21 @@ def orf_chosen(spark: SparkSession, d: str) -> DataFrame:
     return sq.chosen_orf(sq.orfs(seqs, 0), sq.orfs(seqs, 3)).select("name", "orf_kind", "orf_start", "orf_length")
 
 
-@_query()
+_RNAS = f"""{SEQS.replace("seqs as", "dna as")}, p as (select name, length(seq) n, seq, unnest(range(0, cast(floor(length(seq) / 100) as bigint) + 1)) i from dna),
+j as (select 'T' || name as name, n % 2 plus, string_agg(substr(seq, i * 100 + 1, 60), '' order by i) seq from p where substr(seq, i * 100 + 1, 60) <> '' group by all),
+seqs as (select name, '' lang, case when plus = 0 then seq else reverse(translate(seq, 'ACGT', 'TGCA')) end seq from j)"""
+
+
+@_query(f"""with orf as ({_orf_sql({k: _KINDS[k] for k in (0, 1, 2)}, _RNAS)}), {SEQS.replace("seqs as", "dna as")},
+ex as (select 'T' || name transcript_id, name chr, case when n % 2 = 0 then '+' else '-' end strand, i * 100 + 1 s, least(n, i * 100 + 60) e from (select name, length(seq) n, unnest(range(0, cast(floor(length(seq) / 100) as bigint) + 1)) i from dna) where i * 100 + 1 <= n),
+pl as (select *, coalesce(sum(e - s + 1) over (partition by transcript_id order by case when strand = '-' then -e else s end rows between unbounded preceding and 1 preceding), 0) + 1 f from ex),
+u as (select pl.*, f + e - s l, unnest([{{'v': 'five_utr', 'a': 1, 'z': orf_start - 1}}, {{'v': 'CDS', 'a': orf_start, 'z': orf_start + orf_length - 1}}, {{'v': 'three_utr', 'a': orf_start + orf_length, 'z': 4611686018427387904}}]) k from pl join orf on orf.name = pl.transcript_id),
+c as (select transcript_id, chr, strand, s, e, f, k.v feat_level, greatest(f, k.a) a, least(l, k.z) z from u)
+select transcript_id, chr, strand, feat_level, cast(case when strand = '-' then e - (z - f) else s + a - f end as bigint) "start", cast(case when strand = '-' then e - (a - f) else s + z - f end as bigint) "end" from c where a <= z""")
 def orf_on_genome(spark: SparkSession, d: str) -> DataFrame:
     """Coding and untranslated parts of the transcripts of `cdna_concat`, on their chromosomes."""
     cdna = cdna_concat(spark, d).select(F.col("transcript_id").alias("name"), "seq")
-    return sq.genomic_parts(_features(spark, d), sq.orfs(cdna, 3))
+    return sq.genomic_parts(_features(spark, d), sq.orfs(cdna, 3)).select("transcript_id", "chr", "strand", "feat_level", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
 _CODONS = " ".join(f"when '{c}' then '{a}'" for c, a in seqf.codon_table().items())
@@ -375,15 +387,49 @@ def codpot_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query()
-def codpot_metrics(spark: SparkSession, d: str) -> DataFrame:
-    """Metrics of the folds and their mean, of the same run."""
-    return _codpot(spark, d).metrics
+def codpot_report(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics of the folds and their mean, with the cutoffs and counts, where two specificities are asked for."""
+    run = _codpot(spark, d, specificities=(0.95, 0.95))
+    counts = run.summary.first().asDict()
+    return run.metrics.select("*", *[F.lit(v).alias(k) for k, v in counts.items()])
+
+
+# All three stages, on sequences as chromosomes: each has a known transcript in its first half, of
+# English ones coding, of German ones not, and a candidate on the other strand in its second half.
+
+
+def _placed(spark: SparkSession, d: str) -> DataFrame:
+    """Exons of 90 letters in every 100, of the known transcripts (K...) and the candidates (C...)."""
+    seqs = _seqs(spark, d).select("name", "lang", F.length("seq").alias("n")).where("n >= 400")
+    at = F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / 100).cast("int") - 1)).alias("i")
+    rows = seqs.select("name", "lang", F.floor(F.col("n") / 200).alias("half"), at).withColumn("known", F.col("i") < F.col("half"))
+    who = F.concat(F.when(F.col("known"), "K").otherwise("C"), "name")
+    biotype = F.when(~F.col("known"), "candidate").when(F.col("lang") == "en", "protein_coding").otherwise("lincRNA")
+    strand = F.when(F.col("known"), "+").otherwise("-")
+    start = (F.col("i") * 100 + 1).cast("long")
+    return rows.select(who.alias("transcript_id"), F.concat(F.lit("G"), who).alias("gene_id"), F.col("name").alias("chr"), strand.alias("strand"), biotype.alias("biotype"), F.lit("exon").alias("feat_level"), start.alias("start"), (start + 89).alias("end"), "lang")
 
 
 @_query()
-def codpot_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Cutoffs and counts where two specificities are asked for."""
-    return _codpot(spark, d, specificities=(0.95, 0.95)).summary
+def pipeline_interactions(spark: SparkSession, d: str) -> DataFrame:
+    """The best partner of each candidate that is left by the filter and classed as lncRNA."""
+    placed = shared_checkpoint(_placed(spark, d))
+    known = placed.where("biotype <> 'candidate'")
+    chunks = sq.genome_chunks(_seqs(spark, d), "name", "seq").withColumnRenamed("name", "chr")
+    run = annotate(placed.where("biotype = 'candidate'"), known, known.where("lang = 'de'"), chunks, sq.CHUNK, least=2)
+    return run.interactions.where("is_best = 1").drop("is_best")
+
+
+_PLACED = f"""{SEQS}, pl as (select *, i < half known from (select name, lang, floor(length(seq) / 200) half, unnest(range(0, cast(floor(length(seq) / 100) as bigint))) i from seqs where length(seq) >= 400)),
+c as (select 'C' || name transcript_id, count(*) n_exons, count(*) * 90 size from pl where not known group by 1)"""
+
+
+@_query(f"with {_PLACED} select transcript_id, n_exons, size, case when size < 200 then 'size' end drop_reason from c")
+def pipeline_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """The first stage of the same; no candidate overlaps a known transcript of its own strand."""
+    placed = shared_checkpoint(_placed(spark, d))
+    ex, known = placed.where("biotype = 'candidate'"), placed.where("biotype = 'protein_coding'")
+    return candidates.filter_candidates(ex, tx.transcript_rollup(ex), known, mono_exonic=-1).select("transcript_id", "n_exons", "size", "drop_reason")
 
 
 @_query(f"with {SEQS} select name, length(seq) n_letters from seqs")

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions.ids import names_something, spelled
-from helixframe.functions.intervals import intersection
+from helixframe.functions.intervals import common_part, intersection
 from helixframe.operators import candidates as cand
 from helixframe.operators import classify, gene_level
 from helixframe.operators import feature_search as search
 from helixframe.operators import transcripts as tx
 from helixframe.operators.range_join import range_join
-from helixframe.session import shared_checkpoint
-from helixframe.sources.annotation import gtf_features, gtf_text
+from helixframe.session import scratch_path, shared_checkpoint
+from helixframe.sources.annotation import BIOTYPES, bed_features, gff3_features, gtf_features, gtf_text, read_interactions, rejected_lines, write_interactions, write_routed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -410,9 +410,13 @@ def partner_index(spark: SparkSession, d: str) -> DataFrame:
 # Gene level -------------------------------------------------------------------------------
 
 _CODE = """case rel_type when 'intergenic' then 'linc' || sub || case when sub = 'SS' then loc else '' end when 'genic' then 'lncg' || dir || loc || sub else 'ERROR' end"""
-_CODED = f"""parts as (select *, case subtype when 'containing' then 'Cont' when 'convergent' then 'Conv' when 'divergent' then 'Divg' when 'nested' then 'Nest' when 'overlapping' then 'Ovlp' when 'same_strand' then 'SS' else 'ERROR' end sub,
-  case rel_location when 'downstream' then 'dw' when 'exonic' then 'ex' when 'intronic' then 'in' when 'upstream' then 'up' else 'ERROR' end loc,
-  case direction when 'antisense' then 'AS' when 'sense' then 'SS' else 'ERROR' end dir from interactions where isbest = 1),
+
+
+def _worded(column: str, words: dict[str, str]) -> str:
+    return f"case {column} {' '.join(f'when {k!r} then {v!r}' for k, v in words.items())} else 'ERROR' end"
+
+
+_CODED = f"""parts as (select *, {_worded("subtype", gene_level.SUBTYPES)} sub, {_worded("rel_location", gene_level.LOCATIONS)} loc, {_worded("direction", gene_level.DIRECTIONS)} dir from interactions where isbest = 1),
 coded as (select *, {_CODE} class from parts)"""
 
 
@@ -426,21 +430,50 @@ def gene_class_code(spark: SparkSession, d: str) -> DataFrame:
     return _coded(spark, d).select("inter_id", "class")
 
 
-def _gene_classes(spark: SparkSession, d: str) -> DataFrame:
-    rows = _coded(spark, d).select(spelled(F.col("lncrna_gene")).alias("gene_id"), spelled(F.col("lncrna_transcript")).alias("transcript_id"), F.when(F.col("class") != "ERROR", F.col("class")).alias("class"), spelled(F.col("partnerrna_gene")).alias("partner_gene"), "distance").distinct()
-    return gene_level.gene_classes(rows)
+def _best_rows(spark: SparkSession, d: str) -> DataFrame:
+    named = F.when(F.col("class") != "ERROR", F.col("class")).alias("class")
+    return _coded(spark, d).select(spelled(F.col("lncrna_gene")).alias("gene_id"), spelled(F.col("lncrna_transcript")).alias("transcript_id"), named, spelled(F.col("partnerrna_gene")).alias("partner_gene"), "distance").distinct()
+
+
+def _registered(spark: SparkSession, d: str) -> DataFrame:
+    """The lncRNAs of the registry."""
+    rows = spark.read.parquet(f"{d}/transcripts.parquet").where("biotype <> 'protein_coding'")
+    ids = rows.select(spelled(F.col("gene_id")).alias("gene_id"), spelled(F.col("transcript_id")).alias("transcript_id"))
+    return ids.where(names_something(F.col("gene_id")) & names_something(F.col("transcript_id"))).distinct()
 
 
 _ORDER = " ".join(f"when '{c}' then {i - (c == 'lincSSdw')}" for i, c in enumerate(gene_level.ORDER, 1))
+_RANK = f"case class {_ORDER} else {len(gene_level.ORDER) + 1} end"
+_ROWS = f"""{_CODED}, rows as (select distinct upper(trim(lncrna_gene)) gene_id, upper(trim(lncrna_transcript)) transcript_id, coalesce(nullif(class, 'ERROR'), 'unclassified') class, upper(trim(partnerrna_gene)) partner_gene, distance from coded)"""
+_ANNOTATED = f"""{_ROWS}, reg as (select distinct upper(trim(gene_id)) gene_id, upper(trim(transcript_id)) transcript_id from transcripts where biotype <> 'protein_coding' and upper(trim(gene_id)) not in ('', '.') and upper(trim(transcript_id)) not in ('', '.')),
+one as (select transcript_id, class, partner_gene, distance from rows where transcript_id is not null qualify row_number() over (partition by transcript_id order by {_RANK}, coalesce(distance, 4611686018427387904), coalesce(partner_gene, '~')) = 1),
+r as (select gene_id, transcript_id, coalesce(class, 'unclassified') class, partner_gene, distance from reg left join one using (transcript_id))"""
 
 
-@_query(f"""with {_CODED}, r as (select distinct upper(trim(lncrna_gene)) gene_id, upper(trim(lncrna_transcript)) transcript_id, coalesce(nullif(class, 'ERROR'), 'unclassified') class, upper(trim(partnerrna_gene)) partner_gene, distance from coded),
-  a as (select gene_id, count(*) n_transcripts, count(distinct class) filter (class <> 'unclassified') nc, count(distinct partner_gene) np, string_agg(distinct class, ';' order by class) classes from r group by 1),
-  b as (select * from r qualify row_number() over (partition by gene_id order by case class {_ORDER} else {len(gene_level.ORDER) + 1} end, coalesce(distance, 4611686018427387904), coalesce(partner_gene, '~'), transcript_id) = 1),
+def _genes(rows: str, near: str = "coalesce(distance, 4611686018427387904)", name: str = "b.class") -> str:
+    return f"""with {rows},
+  a as (select gene_id, count(*) n_transcripts, count(distinct class) filter (class <> 'unclassified') nc, count(distinct partner_gene) np, string_agg(distinct class, ';' order by class) classes, arg_min(class, transcript_id) first_class from r group by 1),
+  b as (select * from r qualify row_number() over (partition by gene_id order by {_RANK}, {near}, coalesce(partner_gene, '~'), transcript_id) = 1),
   t as (select *, case when np = 0 then 'unclassified' else case when n_transcripts = 1 then '1' else 'n' end || '.' || case when nc = 1 then '1' else 'n' end || '.' || case when np = 1 then '1' else 'n' end end class_type from a)
-  select gene_id, n_transcripts, b.class || case when class_type in ('n.n.n', 'n.1.n') then '_' || class_type else '' end class, class_type, partner_gene, distance, classes from t join b using (gene_id)""")
+  select gene_id, n_transcripts, {name} || case when class_type in ('n.n.n', 'n.1.n') then '_' || class_type else '' end class, class_type, partner_gene, distance, classes from t join b using (gene_id)"""
+
+
+@_query(_genes(_ANNOTATED))
 def gene_class_pick(spark: SparkSession, d: str) -> DataFrame:
-    return _gene_classes(spark, d)
+    """Every lncRNA gene of the registry; those no transcript of which has a partner are unclassified."""
+    return gene_level.gene_classes(gene_level.transcript_classes(_registered(spark, d), _best_rows(spark, d)))
+
+
+@_query(_genes(_ANNOTATED, "coalesce(cast(distance as varchar), 'NA')", "case when class_type = 'n.n.1' then coalesce(nullif(regexp_extract(first_class, '^(lncgSSex|lncgSSin|lncgASex|lncgASin|lincDivg|lincConv|lincSS)', 1), ''), first_class) else b.class end"))
+def gene_class_compat(spark: SparkSession, d: str) -> DataFrame:
+    """The same with distances compared as text and shortened classes for n.n.1 genes."""
+    return gene_level.gene_classes(gene_level.transcript_classes(_registered(spark, d), _best_rows(spark, d)), compat=True)
+
+
+@_query(_genes(_ROWS + ", r as (select * from rows)"))
+def gene_class_of_interactions(spark: SparkSession, d: str) -> DataFrame:
+    """The genes of the interactions alone."""
+    return gene_level.gene_classes(_best_rows(spark, d))
 
 
 # Text formats ---------------------------------------------------------------------------------
@@ -450,12 +483,88 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/gtf_lines.parquet").select(F.col("line").alias("value"))
 
 
-@_query()
+_BIOTYPES = ", ".join(f"'{b}'" for b in BIOTYPES)
+_CUT = f"""cells as (select string_split(regexp_replace(line, '\\r+$', ''), chr(9)) c from gtf_lines where trim(regexp_replace(line, '\\r+$', '')) <> '' and not regexp_matches(line, '^(#|track|browser)')),
+fault as (select c, case when len(c) <> 9 then 'columns' when not (regexp_full_match(trim(c[4]), '[+-]?[0-9]+') and regexp_full_match(trim(c[5]), '[+-]?[0-9]+')) then 'coordinates' end reason from cells),
+feats as (select c[1] chr, c[2] source, c[3] feat_level, cast(trim(c[4]) as bigint) s, cast(trim(c[5]) as bigint) e, c[7] strand,
+    list_filter(list_transform(regexp_extract_all(c[9], '(?:"[^"]*(?:"|$)|[^;"])+'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: regexp_matches(x, '^\\S+\\s')) p
+  from fault where reason is null and not regexp_matches(c[1], '(PATCH|TEST)$'))"""
+
+
+def _attr(key: str) -> str:
+    """SQL for the last value under `key`, a pattern."""
+    return f"regexp_replace(regexp_replace(list_filter(p, lambda x: regexp_matches(x, '^({key})\\s'))[-1], '^\\S+\\s+', ''), '^\"|\"$', '', 'g')"
+
+
+@_query(f"""with {_CUT}, f as (select *, case when source in ({_BIOTYPES}) then source else {_attr('transcript_biotype|transcript_type')} end biotype from feats)
+  select chr, source, feat_level, s as "start", e as "end", strand, {_attr('transcript_id')} transcript_id, {_attr('gene_id')} gene_id, biotype
+  from f where feat_level in ('exon', 'CDS') and strand in ('+', '-') and (biotype is null or biotype in ('protein_coding', 'lincRNA'))""")
 def gtf_features_parsed(spark: SparkSession, d: str) -> DataFrame:
     rows = gtf_features(_lines(spark, d), ("exon", "CDS"), {"transcript_biotype": ["protein_coding", "lincRNA"]}, {"strand": ["+", "-"]})
     return rows.select("chr", "source", "feat_level", "start", "end", "strand", "transcript_id", "gene_id", F.col("attrs")["transcript_biotype"].alias("biotype"))
 
 
+@_query(f"with {_CUT} select reason, count(*) n from fault where reason is not null group by 1")
+def gtf_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """How many lines no feature can be read from, by reason."""
+    return rejected_lines(_lines(spark, d)).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _tabbed(*cells: object) -> Column:
+    return F.concat_ws("\t", *[c if isinstance(c, Column) else F.lit(c) for c in cells]).alias("value")
+
+
+@_query(f'with {EXONS} select transcript_id, gene_id, chr, strand, s as "start", e as "end" from exons')
+def gff3_exons(spark: SparkSession, d: str) -> DataFrame:
+    """All exons, written as GFF3 lines with their mRNAs and read again."""
+    ex, t = _both(spark, d)
+    col = F.col
+    line = lambda level, about: _tabbed(col("chr"), ".", level, col("start"), col("end"), ".", col("strand"), ".", about)
+    lines = t.select(line("mRNA", F.concat(F.lit("ID="), "transcript_id", F.lit(";Parent="), "gene_id"))).unionByName(ex.select(line("exon", F.concat(F.lit("Parent="), "transcript_id"))))
+    return gff3_features(lines).select("transcript_id", "gene_id", "chr", "strand", "start", "end")
+
+
+@_query(f"""with {EXONS}, n as (select *, row_number() over (partition by transcript_id order by s, e) i from exons)
+  select transcript_id || case when i > 1 then '_dup' || i else '' end transcript_id, chr, strand, s as "start", e as "end" from n""")
+def bed_exons(spark: SparkSession, d: str) -> DataFrame:
+    """All exons, written as BED lines named by their transcript and read again."""
+    col = F.col
+    lines = _exons(spark, d).select(_tabbed(col("chr"), col("start") - 1, col("end"), col("transcript_id"), 0, col("strand")))
+    return bed_features(lines).select("transcript_id", "chr", "strand", "start", "end")
+
+
+@_query(f"""with {EXONS} select transcript_id, s as "start", s as "end" from tx where e > s union all select transcript_id, e, e from tx where e > s""")
+def bed_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The ends of all transcripts, as two blocks of a BED line each."""
+    col = F.col
+    t = _tx(spark, d).where("end > start")
+    lines = t.select(_tabbed(col("chr"), col("start") - 1, col("end"), col("transcript_id"), 0, col("strand"), col("start") - 1, col("end"), 0, 2, "1,1,", F.concat(F.lit("0,"), col("end") - col("start"))))
+    return bed_features(lines).select("transcript_id", "start", "end")
+
+
+_TABLE = "isbest, lncrna_gene, lncrna_transcript, partnerrna_gene, partnerrna_transcript, direction, rel_type, distance, subtype, rel_location"
+
+
+@_query(f"select {_TABLE} from interactions")
+def interactions_file(spark: SparkSession, d: str) -> DataFrame:
+    """The classifier's table, written as text and read again."""
+    path = scratch_path(spark)
+    write_interactions(_table(spark, d).withColumnRenamed("isbest", "is_best"), path)
+    return read_interactions(spark, path).withColumnRenamed("is_best", "isbest")
+
+
+@_query(f"with {EXONS} select case when biotype = 'protein_coding' then 'mRNA' else 'lncRNA' end class, count(*) n_lines, count(distinct transcript_id) n_transcripts from exons group by 1")
+def routed_files(spark: SparkSession, d: str) -> DataFrame:
+    """Exons written into a folder of GTF lines for each class, and what these hold."""
+    rows = _exons(spark, d).withColumn("class", F.when(F.col("biotype") == "protein_coding", "mRNA").otherwise("lncRNA"))
+    full = rows.select("class", "chr", F.lit("x").alias("source"), F.lit("exon").alias("feat_level"), "start", "end", F.lit(".").alias("score"), "strand", F.lit(".").alias("frame"), "gene_id", "transcript_id", F.create_map(F.lit("transcript_biotype"), "biotype").alias("attrs"))
+    path = scratch_path(spark)
+    write_routed(full, path)
+    lines = spark.read.text(path)
+    counted = lines.withColumn("transcript_id", F.regexp_extract("value", 'transcript_id "([^"]*)"', 1))
+    return counted.groupBy("class").agg(F.count("*").alias("n_lines"), F.count_distinct("transcript_id").alias("n_transcripts"))
+
+
 @_query()
 def gtf_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """All features, and how many of them differ once written as lines and read again.
@@ -496,6 +605,50 @@ def features_found(spark: SparkSession, d: str) -> DataFrame:
     return search.find_features(rows, "mtr*7", ["exon", "CDS"], ("chr28", 1_000_000, 9_000_000)).select("row_id")
 
 
-@_query()
+@_query(f"""with {_CUT}, k as (select unnest(list_distinct(list_concat(list_transform(p, lambda x: case regexp_extract(x, '^\\S+') when 'transcript_type' then 'transcript_biotype' when 'gene_type' then 'gene_biotype' else regexp_extract(x, '^\\S+') end),
+  case when source in ({_BIOTYPES}) then ['transcript_biotype'] else [] end))) attr_key from feats where feat_level in ('exon', 'CDS', 'transcript', 'gene')) select attr_key, count(*) n from k group by 1""")
 def attribute_names(spark: SparkSession, d: str) -> DataFrame:
     return search.attribute_names(gtf_features(_lines(spark, d), ("exon", "CDS", "transcript", "gene")))
+
+
+@_query(f"""with {_CUT}, f as (select *, {_attr('gene_id')} g from feats where feat_level in ('exon', 'CDS', 'transcript', 'gene')) select chr, s as "start", e as "end", g gene_id from f where regexp_matches(lower(g), '^.*1$') and lower(feat_level) = 'exon'""")
+def features_by_attribute(spark: SparkSession, d: str) -> DataFrame:
+    """Exons whose gene's id ends in 1."""
+    rows = gtf_features(_lines(spark, d), ("exon", "CDS", "transcript", "gene"))
+    return search.find_features(rows, types=["exon"], attributes={"gene_id": "*1"}).select("chr", "start", "end", "gene_id")
+
+
+# Strands and samples ---------------------------------------------------------------------------
+
+
+@_query(f"""with {EXONS}, m as (select unnest([0, 1, -1]) mode), j as (select a.transcript_id, b.transcript_id other_id, a.strand ls, b.strand rs, greatest(a.s, b.s) x, least(a.e, b.e) y from ct a join at_ b on a.chr = b.chr and a.chr <> '' and a.s <= b.e and b.s <= a.e),
+  o as (select *, mode = 0 or (ls in ('+', '-') and rs in ('+', '-') and ((mode = 1 and ls = rs) or (mode = -1 and ls <> rs))) ok from j, m)
+  select transcript_id, other_id, mode, case when ok then x else 0 end as both_start, case when ok then y else 0 end as both_end from o""")
+def overlap_by_strand(spark: SparkSession, d: str) -> DataFrame:
+    """The common part of overlapping transcripts where strands don't matter, agree or oppose."""
+    t = shared_checkpoint(_tx(spark, d).where("chr <> ''"))
+    cut = lambda x: x.select("transcript_id", "chr", "strand", "start", "end")
+    pairs = range_join(cut(_lnc(t)), cut(_coding(t)), ["chr"])
+    args = [F.col(c) for c in ("l.start", "l.end", "r.start", "r.end", "l.strand", "r.strand")]
+    modes = F.explode(F.array(*[F.struct(F.lit(m).alias("mode"), common_part(*args, m).alias("both")) for m in (0, 1, -1)]))
+    return pairs.select(F.col("l.transcript_id").alias("transcript_id"), F.col("r.transcript_id").alias("other_id"), modes.alias("m")).select("transcript_id", "other_id", "m.mode", F.col("m.both.start").alias("both_start"), F.col("m.both.end").alias("both_end"))
+
+
+@_query(f"with {EXONS} select transcript_id from tx order by md5(transcript_id || '|1'), transcript_id limit 100")
+def transcript_sample(spark: SparkSession, d: str) -> DataFrame:
+    return tx.sample_transcripts(_tx(spark, d), 100).select("transcript_id")
+
+
+@_query(f"with {EXONS} select transcript_id, chr, n_exons from ct where chr in (select chr from at_)")
+def candidates_on_annotated_chr(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates on a chr that the annotation has."""
+    _, t = _both(spark, d)
+    return cand.on_annotated_chr(_lnc(t), _coding(t)).select("transcript_id", "chr", "n_exons")
+
+
+@_query(f"""with {EXONS}, {OVERLAP}, r as (select case when size < 200 then 'size' when n_exons = 1 then 'mono_exonic' when n_exons = 2 and smallest_exon < 25 then 'bi_exonic'
+  when transcript_id in (select transcript_id from ov) then 'overlap' else 'kept' end drop_reason from ct) select drop_reason, count(*) n from r group by 1""")
+def filter_log(spark: SparkSession, d: str) -> DataFrame:
+    """How many candidates each rule drops, and how many are kept."""
+    ex, t = _both(spark, d)
+    return cand.filter_log(cand.filter_candidates(_lnc(ex), _lnc(t), _coding(ex)))

@@ -174,16 +174,17 @@ def write_gtf(features: DataFrame, path: str) -> None:
 
 
 def write_interactions(pairs: DataFrame, path: str) -> None:
-    """The classifier's table, tab separated with a header."""
+    """The classifier's table, tab separated with a header; nulls are NA."""
     named = pairs.select("is_best", "lncrna_gene", "lncrna_transcript", "partnerrna_gene", "partnerrna_transcript", "direction", "rel_type", "distance", "subtype", "rel_location")
-    named.toDF("isBest", "lncRNA_gene", "lncRNA_transcript", "partnerRNA_gene", "partnerRNA_transcript", "direction", "type", "distance", "subtype", "location").write.mode("error").csv(path, sep="\t", header=True)
+    named.toDF("isBest", "lncRNA_gene", "lncRNA_transcript", "partnerRNA_gene", "partnerRNA_transcript", "direction", "type", "distance", "subtype", "location").write.mode("error").csv(path, sep="\t", header=True, nullValue="NA", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_interactions(spark: SparkSession, path: str) -> DataFrame:
     schema = "is_best int, lncrna_gene string, lncrna_transcript string, partnerrna_gene string, partnerrna_transcript string, direction string, rel_type string, distance long, subtype string, rel_location string"
-    return spark.read.schema(schema).csv(path, sep="\t", header=True, enforceSchema=True)
+    return spark.read.schema(schema).csv(path, sep="\t", header=True, enforceSchema=True, nullValue="NA")
 
 
-def write_routed(features: DataFrame, path: str) -> None:
-    """One folder of GTF lines for each class; classes without rows have none."""
-    features.select("class", gtf_line().alias("value")).write.mode("error").partitionBy("class").text(path)
+def write_routed(rows: DataFrame, path: str, line: Column | None = None) -> None:
+    """One folder of lines for each class, GTF lines or what `line` makes of a row (such as
+    `fasta.fasta_record()`); classes without rows have none."""
+    rows.select("class", (gtf_line() if line is None else line).alias("value")).write.mode("error").partitionBy("class").text(path)
