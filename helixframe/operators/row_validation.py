@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 #: The rules, in the order in which reasons apply. Column 0 is the line itself.
 RULES = [(1, "columns", 0), (2, "frame", 8), (3, "quoting", 9), (4, "ids", 9)]
 COLUMNS = ["chr", "source", "feat_level", "start_pos", "end_pos", "score", "strand", "frame", "attributes"]
-_PAIR = r'^[^\s"]+\s+("[^"]*"|[\p{L}\p{N}._:-]+)$'
-_FILLED = r'\s+("\s*[^"\s][^"]*"|[\p{L}\p{N}._:-]+)$'
+#: A cell of pairs parted by semicolons. Every repeat is possessive, so a cell is read once and without recursion.
+_BARE = r"[\p{L}\p{N}._:-]++"
+_LIST = rf"""\A[\s;]*+(?:[^\s";]++\s++(?:"[^"]*+"|{_BARE})\s*+(?:;[\s;]*+|\z))*+\z"""
+
+
+def _with_filled(key: str) -> str:
+    """A cell with a pair of `key` whose value isn't blank; semicolons within quotes part nothing."""
+    pair = rf"""\s*+{key}\s++(?:"\s*+[^"\s][^"]*+"|{_BARE})\s*+(?:;|\z)"""
+    return rf"""\A(?:(?!{pair})(?:[^";]++|"[^"]*+")*+;)*+{pair}"""
+
+
 _SPLIT = "\u0001"
 
 
@@ -53,15 +62,12 @@ def failed_rules(df: DataFrame, line_id: str = "line_id", line: str = "line") ->
         F.try_element_at("cells", F.lit(3)).alias("level"),
         F.posexplode(F.concat(F.array(F.size("cells").cast("string")), "cells")).alias("col_no", "value"),
     )
-    value, level, pairs = F.col("value"), F.col("level"), F.col("pairs")
-    # A generated column is worked out once, where an expression would be for each use of it.
-    cells = cells.withColumn("pairs", F.explode(F.array(F.when(F.col("col_no") == len(COLUMNS), attribute_pairs(value)))))
-    has = lambda key: F.exists(pairs, lambda p: p.rlike(f"^{key}{_FILLED}"))
+    value, level = F.col("value"), F.col("level")
     passes = (
         F.when(F.col("rule") == 1, value == str(len(COLUMNS)))
         .when(F.col("rule") == 2, value.isin("0", "1", "2", "."))
-        .when(F.col("rule") == 3, F.forall(pairs, lambda p: p.rlike(_PAIR)))
-        .when(F.col("rule") == 4, has("gene_id") & ((level == "gene") | has("transcript_id")))
+        .when(F.col("rule") == 3, value.rlike(_LIST))
+        .when(F.col("rule") == 4, value.rlike(_with_filled("gene_id")) & ((level == "gene") | value.rlike(_with_filled("transcript_id"))))
     )
     return (
         cells.join(F.broadcast(rules), "col_no")
