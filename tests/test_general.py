@@ -207,6 +207,7 @@ def test_merge_intervals(spark):
     small = [d for d in data if d[0] != "far"]
     got = merge_intervals(spark.createDataFrame(small, df.schema), "entity", "s", "e", shard_width=16)
     assert rows(got) == sorted((w for w in want if w[0] != "far"), key=repr)
+    assert rows(merge_intervals(spark.createDataFrame(small, df.schema), "entity", "s", "e", shard_width=2, seam_shards=1)) == sorted((w for w in want if w[0] != "far"), key=repr)
     for own in (0, 1, 512):
         assert rows(merge_intervals(df, "entity", "s", "e", max_pieces=64, own_widths=own)) == sorted(want, key=repr)
     assert rows(merge_intervals(df.where("entity <> 'far'"), "entity", "s", "e", shard_width=4, max_pieces=16, own_widths=1)) == sorted((w for w in want if w[0] != "far"), key=repr)
@@ -221,3 +222,12 @@ def test_merge_intervals_at_the_ends_of_long(spark):
     for own in (0, 2, 512):
         assert rows(merge_intervals(df, "entity", "s", "e", own_widths=own)) == sorted(want, key=repr)
     assert rows(merge_intervals(df, "entity", "s", "e", shard_width=1000, max_pieces=7)) == sorted(want, key=repr)
+
+
+def test_merge_intervals_far_apart(spark):
+    rng = random.Random(3)
+    starts = sorted(rng.sample(range(-(10**15), 10**15), 400))
+    df = spark.createDataFrame([("hot", x, x + rng.randint(0, 3 * 10**5)) for x in starts], "entity string, s long, e long")
+    spans = [(r.s, r.e) for r in df.orderBy("s").collect()]
+    want = [("hot", "block", a, b) for a, b in spans] + [("hot", "gap", b + 1, c - 1) for (_, b), (c, _) in zip(spans, spans[1:])]
+    assert rows(merge_intervals(df, "entity", "s", "e")) == sorted(want, key=repr)
