@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession:
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, checkpoint_dir: str | None = None) -> SparkSession:
     """A session for tests and benches; on a cluster the launcher's own settings hold."""
-    return (
+    builder = (
         SparkSession.builder.master(master)
         .appName("helixframe")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -19,8 +19,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> Spar
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    return (builder.config("spark.checkpoint.dir", checkpoint_dir) if checkpoint_dir else builder).getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

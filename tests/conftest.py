@@ -9,8 +9,8 @@ from helixframe.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session("local[4]", 4)
+def spark(tmp_path_factory):
+    s = build_session("local[4]", 4, str(tmp_path_factory.mktemp("checkpoints")))
     s.sparkContext.setLogLevel("OFF")
     yield s
     s.stop()

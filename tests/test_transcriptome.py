@@ -2,11 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from helixframe import session
 from helixframe.functions import intervals as iv
 from helixframe.functions import sequence as seqf
-from helixframe.operators import candidates, classify, coding, gene_level, sequences, transcripts
+from helixframe.operators import candidates, classify, coding, coding_potential, gene_level, sequences, transcripts
 from helixframe.operators.range_join import range_join
 from helixframe.plans.transcriptome import gtf_roundtrip
 from helixframe.sources import annotation, fasta
@@ -276,6 +278,67 @@ def test_transcript_rows_and_choice(spark):
     assert len(pick) == 1 and pick == transcripts.random_per_gene(transcripts.transcript_rollup(ex).withColumn("gene_id", F.lit("g")), 3).collect()
 
 
+def test_gene_classes_over_the_annotation(spark):
+    known = spark.createDataFrame([("g", "t1"), ("g", "t2"), ("g", "t2"), ("h", "t3")], "gene_id string, transcript_id string")
+    best = spark.createDataFrame([("t1", "lincConv", "P", 10), ("t1", "lincSSup", "Q", 9), ("zz", "lincDivg", "P", 1), (None, "lincDivg", "P", 1), ("t2", "lincDivg", "Q", 100)], "transcript_id string, class string, partner_gene string, distance long")
+    rows = gene_level.transcript_classes(known, best)
+    assert sorted((r.transcript_id, r["class"]) for r in rows.collect()) == [("t1", "lincSSup"), ("t2", "lincDivg"), ("t3", None)]
+    pick = lambda **o: {r.gene_id: (r["class"], r.class_type, r.distance) for r in gene_level.gene_classes(rows, **o).collect()}
+    assert pick() == {"g": ("lincDivg", "n.n.1", 100), "h": ("unclassified", "unclassified", None)}
+    assert pick(compat=True) == {"g": ("lincSS", "n.n.1", 100), "h": ("unclassified", "unclassified", None)}
+    near = spark.createDataFrame([("g", "a", "lincSSup", "P", 9), ("g", "b", "lincSSup", "P", 10)], "gene_id string, transcript_id string, class string, partner_gene string, distance long")
+    assert [gene_level.gene_classes(near, c).first().distance for c in (False, True)] == [9, 10]
+
+
+def test_selecting_interactions(spark):
+    rows = [(1, "a", "x", "sense", "genic", 0, "nested"), (2, "a", "y", "antisense", "intergenic", 5, "divergent"), (3, "b", "a", "sense", "intergenic", 9, None), (4, None, "y", None, None, None, None)]
+    df = spark.createDataFrame(rows, "i int, lncrna_transcript string, partnerrna_transcript string, direction string, rel_type string, distance long, subtype string")
+    ids = lambda **o: sorted(r.i for r in classify.select_interactions(df, **o).collect())
+    assert [ids(compared=(op, 5)) for op in ("eq", "lt", "le", "gt", "ge")] == [[2], [1], [1, 2], [3], [2, 3]]
+    assert [ids(transcript="a", side=side) for side in (1, 2, 3)] == [[1, 2], [3], [1, 2, 3]]
+    assert (ids(nested=True), ids(divergent=False), ids(tags={"direction": "sense", "distance": 9}), ids()) == ([1], [1], [3], [1, 2, 3, 4])
+    assert sorted(r.transcript_id for r in classify.selected_partners(df).collect()) == ["a", "x", "y"]
+
+
+def test_common_part_by_strand(spark):
+    df = spark.createDataFrame([(1, 9, 5, 12, "+", "-"), (1, 3, 5, 9, "+", "+")], "b1 int, e1 int, b2 int, e2 int, s1 string, s2 string")
+    c = [F.col(x) for x in ("b1", "e1", "b2", "e2", "s1", "s2")]
+    got = df.select(*[iv.common_part(*c, m).alias(f"m{i}") for i, m in enumerate((0, 1, -1))]).collect()
+    assert [[tuple(x) for x in r] for r in got] == [[(5, 9), (0, 0), (5, 9)], [(0, 0)] * 3]
+
+
+def test_second_stage_whole(spark):
+    rng = random.Random(3)
+    coding_rows = [(f"c{i}", "ATG" + "".join(rng.choice(["GCT", "GAA", "AAG", "CTG"]) for _ in range(60)) + "TAA" + "ACGT" * 5) for i in range(60)]
+    other_rows = [(f"n{i}", "".join(rng.choice("ACGT") for _ in range(240)) + "ATG" + "ACT" * 9 + "TGA") for i in range(60)]
+    make = lambda x: spark.createDataFrame(x, "name string, seq string")
+    a, b = (coding_potential.frames_of_sequences(make(x), kmers=(1, 3, 6)) for x in (coding_rows, other_rows))
+    names = make([("c0", ""), ("n0", ""), ("bare", "")]).select("name")
+    test = a.where("name = 'c0'").unionByName(b.where("name = 'n0'"))
+    for options in ({}, {"specificities": (0.9, 0.9)}, {"cutoff": 0.5}):
+        run = coding_potential.coding_potential(a, b, test, names, kmers=(1, 3, 6), n_folds=3, trees=5, least=20, **options)
+        assert {r.name: r["class"] for r in run.classes.collect()} == {"c0": "mRNA", "n0": "lncRNA", "bare": "noORF"}
+        table = {r.fold: r.acc for r in run.metrics.collect()}
+        assert set(table) == {"1", "2", "3", "mean"} and table["mean"] > 0.9
+        assert tuple(run.summary.first())[2:] == (1, 1, 0, 0)
+    assert run.learning.count() == 120 - 12 and abs(sum(r.importance for r in run.importances.collect()) - 1) < 1e-9
+    with pytest.raises(ValueError):
+        coding_potential.coding_potential(a, b, test, names, kmers=(1, 3), least=100)
+    assert coding.capped(a, "name", 25, 20).count() == 25
+
+
+def test_annotated_frames_win(spark):
+    genome = spark.createDataFrame([("c", "CCATGAAATAACCATGCCCGGGTTTTAACC")], "id string, s string")
+    rows = [("t", "exon", 1, 30), ("t", "CDS", 14, 25), ("t", "stop_codon", 26, 28), ("u", "exon", 1, 30)]
+    f = spark.createDataFrame([(t, "c", "+", lv, a, z) for t, lv, a, z in rows], "transcript_id string, chr string, strand string, feat_level string, start long, end long")
+    got = {r.name: (r.orf_seq, r.rna_size) for r in coding_potential.frames_of_transcripts(f, sequences.genome_chunks(genome, "id", "s"), 0, (1,)).collect()}
+    assert got == {"t": ("ATGCCCGGGTTTTAA", 30), "u": ("ATGCCCGGGTTTTAA", 30)}
+
+
+def test_clusters_need_a_shared_folder():
+    assert session.is_local("local[8]") and session.is_local("local") and not session.is_local("local-cluster[2,1,1024]") and not session.is_local("yarn")
+
+
 def test_gene_classes(spark):
     rows = [("g", "t1", "lincConv", "P", 10), ("g", "t2", "lincSSdw", "P", 5), ("g", "t3", "lincSSup", "Q", 9), ("h", "t4", None, None, None), ("i", "t5", "lncgASexNest", "P", 0)]
     got = {r.gene_id: (r["class"], r.class_type, r.partner_gene) for r in gene_level.gene_classes(spark.createDataFrame(rows, "gene_id string, transcript_id string, class string, partner_gene string, distance long")).collect()}
