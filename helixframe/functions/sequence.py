@@ -36,14 +36,13 @@ def n_percent(seq: Column) -> Column:
 
 def translated(seq: Column) -> Column:
     """Amino acids of the whole codons; X for codons with other letters than ACGT."""
-    place = lambda c, j: F.call_function("instr", F.lit("TCAG"), F.substring(c, j, 1))
+    table = " ".join(codon_table())
 
     def amino(c: Column) -> Column:
-        known = (place(c, 1) > 0) & (place(c, 2) > 0) & (place(c, 3) > 0)
-        return F.when(known, F.substring(F.lit(STANDARD_CODE), place(c, 1) * 16 + place(c, 2) * 4 + place(c, 3) - 20, F.lit(1))).otherwise("X")
+        at = F.call_function("instr", F.lit(table), c)
+        return F.when(at > 0, F.substring(F.lit(STANDARD_CODE), F.shiftright(at + 3, 2), F.lit(1))).otherwise("X")
 
-    codons = F.filter(F.split(F.upper(seq), r"(?<=\G.{3})"), lambda c: F.length(c) == 3)
-    return F.array_join(F.transform(codons, amino), "")
+    return F.array_join(F.transform(F.regexp_extract_all(F.upper(seq), F.lit("(?s).{3}"), F.lit(0)), amino), "")
 
 
 def has_start(seq: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,11 +20,13 @@ def _widths(bin_width: int) -> list[int]:
 
 
 def _level(low: Column, high: Column, widths: Sequence[int]) -> Column:
-    """The number of the first width of which the interval touches at most about MAX_BINS bins."""
-    out = F.lit(len(widths) - 1)
-    for i in reversed(range(len(widths) - 1)):
-        out = F.when(floor_div(high, widths[i]) - floor_div(low, widths[i]) <= MAX_BINS, i).otherwise(out)
-    return out
+    """The number of the first width of which the interval touches about MAX_BINS bins at most.
+
+    Rounding may move an interval to the next level; that changes no pair.
+    """
+    length = high.cast("double") - low.cast("double")
+    steps = F.ceil(F.log2(F.greatest(F.lit(1.0), length / float(MAX_BINS * widths[0]))) / math.log2(STEP))
+    return F.least(steps, F.lit(len(widths) - 1)).cast("int")
 
 
 def range_join(left: DataFrame, right: DataFrame, by: Sequence[str], slack: int = 0, bin_width: int = BIN_WIDTH) -> DataFrame:
