@@ -15,9 +15,10 @@ from helixframe.functions.ids import spelled
 from helixframe.operators import candidates, coding
 from helixframe.operators import sequences as sq
 from helixframe.operators import transcripts as tx
-from helixframe.operators.coding_potential import KMERS, CodingPotential, coding_potential, frames_of_sequences, learning_parts
+from helixframe.operators.coding_potential import KMERS, CodingPotential, coding_potential, frames_of_sequences, frames_of_transcripts, learning_parts
 from helixframe.operators.pipeline import annotate
 from helixframe.session import scratch_path, shared_checkpoint
+from helixframe.sources.annotation import write_routed
 from helixframe.sources.fasta import fasta_record, read_fasta
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,6 +208,29 @@ def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
     return out.select("name", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("name", "rna_size")], "rna_size")
 
 
+_EACH = " union all ".join(f"select {k} k, kmer, round(ratio, 6) ratio from m{k}" for k in KMERS)
+
+
+@_query(f"with {_FRAMES}, {', '.join(_models(k) for k in KMERS)} {_EACH}")
+def kmer_ratio_models(spark: SparkSession, d: str) -> DataFrame:
+    """The models of all lengths at once."""
+    seqs = _seqs(spark, d)
+    english = sq.orfs(seqs.where("lang = 'en'"), 3).select(F.col("orf_seq").alias("seq"))
+    return sq.kmer_models(english, seqs.where("lang <> 'en'").select("seq"), KMERS).withColumn("ratio", F.round("ratio", 6))
+
+
+@_query(f"""with {SEQS}, p as (select name, length(seq) n, seq, unnest(range(0, cast(floor(length(seq) / 100) as bigint) + 1)) i from seqs),
+  j as (select 'T' || name as name, n % 2 plus, string_agg(substr(seq, i * 100 + 1, 60), '' order by i) seq, string_agg(substr(seq, i * 100 + 1, 30), '' order by i) orf_seq from p where substr(seq, i * 100 + 1, 60) <> '' group by all),
+  t as (select name, case when plus = 0 then seq else reverse(translate(seq, 'ACGT', 'TGCA')) end seq, case when plus = 0 then orf_seq else reverse(translate(orf_seq, 'ACGT', 'TGCA')) end orf_seq from j)
+  select name, orf_seq, length(orf_seq) orf_length, length(seq) rna_size from t where length(orf_seq) >= {2 * max(KMERS)}""")
+def annotated_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Frames of the transcripts of `cdna_concat` where the first 30 letters of each exon are annotated as coding."""
+    exons = _features(spark, d).withColumn("feat_level", F.lit("exon"))
+    parts = exons.withColumn("feat_level", F.lit("CDS")).withColumn("end", F.least("end", F.col("start") + 29))
+    chunks = sq.genome_chunks(_seqs(spark, d), "name", "seq", 256)
+    return frames_of_transcripts(exons.unionByName(parts), chunks, chunk=256).select("name", "orf_seq", "orf_length", "rna_size")
+
+
 # Coding potential, over the forest's result table and the registry --------------------------
 
 
@@ -294,6 +318,12 @@ def route_by_label(spark: SparkSession, d: str) -> DataFrame:
     return coding.routed(names, _two(spark, d), "name").groupBy("class").agg(F.count("*").alias("n"))
 
 
+@_query(f"with {SCORED} select name, score, truth from h order by h, name limit 200")
+def training_cap(spark: SparkSession, d: str) -> DataFrame:
+    """The first 200 transcripts to learn from, in hash order."""
+    return coding.capped(_scored(spark, d), "name", 200, least=1)
+
+
 @_query("select label, count(*) n from rf_result group by 1")
 def label_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/rf_result.parquet").groupBy("label").agg(F.count("*").alias("n"))
@@ -368,6 +398,12 @@ def codpot_parts(spark: SparkSession, d: str) -> DataFrame:
     return learning_parts(coding_frames, other_frames).select("name", "truth", "part")
 
 
+@_query(f"with {_LONG} select name, seq, orf_seq, orf_length, rna_size from f join seqs using (name)")
+def sequence_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences with a frame of at least twice the longest k-mer."""
+    return frames_of_sequences(_seqs(spark, d))
+
+
 @_query(f"with {_LONG} select name, case when f.name is null then 'noORF' else 'scored' end class from (select name from seqs where lang not in ('en', 'de')) left join f using (name)")
 def codpot_reach(spark: SparkSession, d: str) -> DataFrame:
     """Which candidates have a frame to be scored by."""
@@ -452,6 +488,15 @@ def fasta_read(spark: SparkSession, d: str) -> DataFrame:
     return read_fasta(spark, path)
 
 
+@_query(f"with {SEQS} select case lang when 'en' then 'mRNA' else 'lncRNA' end class, name, seq from seqs")
+def routed_fasta(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences written into a folder of FASTA records for each class, and read again."""
+    path = scratch_path(spark)
+    write_routed(_seqs(spark, d).withColumn("class", F.when(F.col("lang") == "en", "mRNA").otherwise("lncRNA")), path, fasta_record())
+    parts = [read_fasta(spark, f"{path}/class={c}").select(F.lit(c).alias("class"), "name", "seq") for c in ("mRNA", "lncRNA")]
+    return parts[0].unionByName(parts[1])
+
+
 @_query(f"with {SEQS} select doc_id, round(length(regexp_replace(substr(text, 101, 200), '[^Nn]', '', 'g')) * 100.0 / greatest(1, length(substr(text, 101, 200))), 6) share from documents where length(text) > 100")
 def n_fraction_of_region(spark: SparkSession, d: str) -> DataFrame:
     """The share of N in letters 101 to 300."""
