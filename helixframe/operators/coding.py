@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.operators import forest
 from helixframe.operators.key_balance import number_rows
 from helixframe.session import shared_checkpoint
 
@@ -120,25 +121,35 @@ def routed(rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return rows.join(labels.select(name, "label"), name, "left").withColumn("class", c).drop("label")
 
 
-#: The number of trees of a forest, and how many forests are grown at a time.
+#: The number of trees of a forest, and how many of Spark's own forests are grown at a time.
 TREES, AT_A_TIME = 500, 4
-DEPTH = 8
 
 
 def fitted_forest(train: DataFrame, features: list[str], label: str, trees: int = TREES, seed: int = 1):
     """A random forest for label 1 against 0. Both weigh the same, however many rows they have;
-    rows with a null feature or another label aren't used."""
+    rows with a null feature or another label aren't used. Beyond `forest.MATRIX_ROWS` rows it is
+    one of Spark's, whose rows stay where they are."""
+    usable = shared_checkpoint(train.where(F.col(label).isin(0, 1)).dropna(subset=features).select(*features, label))
+    if usable.count() > forest.MATRIX_ROWS:
+        return _spark_forest(usable, features, label, trees, seed)
+    return forest.forests(usable, features, label, trees, seed)[0]
+
+
+def _spark_forest(usable: DataFrame, features: list[str], label: str, trees: int, seed: int):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     assembled = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
-    usable = train.where(F.col(label).isin(0, 1)).select(*features, F.col(label).cast("double").alias("_label"))
-    sizes = usable.groupBy("_label").count()
-    weighted = assembled.transform(usable.join(F.broadcast(sizes), "_label").withColumn("_weight", 1 / F.col("count")))
-    return RandomForestClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", numTrees=trees, maxDepth=DEPTH, featureSubsetStrategy="sqrt", seed=seed).fit(weighted)
+    rows = usable.select(*features, F.col(label).cast("double").alias("_label"))
+    sizes = rows.groupBy("_label").count()
+    weighted = assembled.transform(rows.join(F.broadcast(sizes), "_label").withColumn("_weight", 1 / F.col("count")))
+    return RandomForestClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight", numTrees=trees, maxDepth=forest.DEPTH, featureSubsetStrategy="sqrt", seed=seed).fit(weighted)
 
 
-def _forest_scores(model, test: DataFrame, features: list[str]) -> DataFrame:
+def forest_scores(model, test: DataFrame, features: list[str]) -> DataFrame:
+    """`test` with score: the probability of label 1 by a `fitted_forest`, null for rows with a null feature."""
+    if isinstance(model, forest.Forest):
+        return test.withColumn("score", forest.scored(test, features, {0: model}))
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
@@ -154,13 +165,14 @@ def forest_predictions(train: DataFrame, test: DataFrame, features: list[str], l
 
     Rows with a null feature have a null score.
     """
-    return _forest_scores(fitted_forest(train, features, label, trees, seed), test, features)
+    return forest_scores(fitted_forest(train, features, label, trees, seed), test, features)
 
 
 def cross_validated(df: DataFrame, name: str, features: list[str], label: str, n_folds: int = 10, trees: int = TREES, seed: int = 1) -> DataFrame:
     """`df` with fold and score, each row scored by a forest on the other folds.
 
-    The forests are grown when this is called, some at a time, over folds written once.
+    The forests are grown when this is called, all in one job, over folds written once; beyond
+    `forest.MATRIX_ROWS` rows some of Spark's at a time.
 
     With `cutoff_curve`, `balanced_cutoffs` and `confusion` this gives the cutoff and the
     metrics of each fold. Rows with a null feature have a null score. If the other folds lack
@@ -170,11 +182,14 @@ def cross_validated(df: DataFrame, name: str, features: list[str], label: str, n
     usable = folded.dropna(subset=features).where(F.col(label).isin(0, 1))
     held = {(r.fold, r[label]): r["count"] for r in usable.groupBy("fold", label).count().collect()}  # two rows a fold
     totals = [sum(n for (_, t), n in held.items() if t == side) for side in (0, 1)]
+    known = [fold for fold in range(1, n_folds + 1) if all(totals[side] > held.get((fold, side), 0) for side in (0, 1))]
+    if sum(totals) <= forest.MATRIX_ROWS:
+        grown = forest.forests(usable, features, label, trees, seed, "fold", known) if known else []
+        return folded.withColumn("score", forest.scored(folded, features, dict(zip(known, grown, strict=True)), "fold"))
 
     def scored(fold: int) -> DataFrame:
-        rest, mine = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        known = all(totals[side] > held.get((fold, side), 0) for side in (0, 1))
-        return forest_predictions(rest, mine, features, label, trees, seed) if known else mine.withColumn("score", F.lit(None).cast("double"))
+        rest, mine = usable.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        return forest_scores(_spark_forest(rest, features, label, trees, seed), mine, features) if fold in known else mine.withColumn("score", F.lit(None).cast("double"))
 
     with ThreadPoolExecutor(AT_A_TIME) as pool:
         return reduce(DataFrame.unionByName, pool.map(scored, range(1, n_folds + 1)))
@@ -210,7 +225,8 @@ def capped(df: DataFrame, name: str, most: int | None = None, least: int = 100,
     return df if most is None or n <= most else df.orderBy(hash_order(F.col(name), seed), name).limit(most)
 
 
-def feature_importances(train: DataFrame, features: list[str], label: str, trees: int = TREES, seed: int = 1) -> DataFrame:
-    """(feature, importance) in a forest on `train`; importances sum to 1."""
-    model = fitted_forest(train, features, label, trees, seed)
-    return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, model.featureImportances.toArray(), strict=True)], "feature string, importance double")
+def feature_importances(train: DataFrame, features: list[str], label: str, trees: int = TREES, seed: int = 1, model=None) -> DataFrame:
+    """(feature, importance) in a forest on `train`, or in `model` if it is there already; importances sum to 1."""
+    model = fitted_forest(train, features, label, trees, seed) if model is None else model
+    found = model.importances() if isinstance(model, forest.Forest) else model.featureImportances.toArray()
+    return train.sparkSession.createDataFrame([(f, float(v)) for f, v in zip(features, found, strict=True)], "feature string, importance double")

@@ -2,13 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from helixframe import session
 from helixframe.functions import intervals as iv
 from helixframe.functions import sequence as seqf
-from helixframe.operators import candidates, classify, coding, coding_potential, gene_level, sequences, transcripts
+from helixframe.operators import candidates, classify, coding, coding_potential, forest, gene_level, sequences, transcripts
 from helixframe.operators.range_join import range_join
 from helixframe.plans.transcriptome import gtf_roundtrip
 from helixframe.sources import annotation, fasta
@@ -270,6 +271,49 @@ def test_cross_validation(spark):
     assert one.where("score is not null").count() == 0 and one.count() == 120
 
 
+def test_forests_are_grown_in_few_jobs_and_repeat(spark):
+    rng = random.Random(4)
+    rows = [(f"n{i}", rng.gauss(2 * (i % 3 == 0), 1), rng.choice([0, 1, 2]), rng.random(), int(i % 3 == 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "name string, a double, b int, c double, truth int")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    scores = lambda d: {r.name: r.score for r in coding.cross_validated(d, "name", ["a", "b", "c"], "truth", trees=60).collect()}
+    got = scores(df)
+    assert len(tracker.getJobIdsForGroup(None)) - before < 60
+    assert got == scores(df.repartition(7, "c")) and len(set(got.values())) > 100
+
+
+def test_grown_tree():
+    r = np.random.default_rng(3)
+    label = (np.arange(4000) % 4 == 0).astype(np.uint8)
+    values = [r.normal(label * 2), r.integers(0, 5, 4000).astype(float), r.normal(0, 1, 4000)]
+    edges = [forest.edges_of(v) for v in values]
+    assert len(edges[0]) == forest.BINS - 1 and edges[1].tolist() == [0.5, 1.5, 2.5, 3.5]
+    codes = np.stack([forest.binned(e, v) for e, v in zip(edges, values)], 1) * np.uint8(2) + label[:, None]
+    feature, cut, share, _ = tree = forest.grown(codes, np.random.default_rng(1))
+    drawn = forest._DRAWN[np.random.default_rng(1).integers(0, 1 << 16, 4000, np.uint16)]
+    assert abs(drawn.mean() - 1) < 0.1
+    # Walked by hand, each end holds the weighted share of the drawn rows that come there.
+    ends = np.zeros(4000, int)
+    for i, row in enumerate(codes // 2):
+        for _ in range(forest.DEPTH):
+            ends[i] = 2 * ends[i] + 1 + (row[feature[ends[i]]] > cut[ends[i]])
+    ends -= len(feature)
+    for e in set(ends[drawn > 0]):
+        ones, others = (drawn[(ends == e) & (label == k)].sum() / (label == k).sum() for k in (1, 0))
+        assert abs(share[e] - ones / (ones + others)) < 1e-9
+    model = forest.Forest(edges, *(np.stack([x]) for x in tree))
+    assert (model.scores(values) == share[ends]).all()
+    # The root takes the best cut of the two features tried there.
+    left = codes[:, feature[0]] // 2 <= cut[0]
+    gini = lambda m: sum((p := [(drawn * m)[label == k].sum() / (label == k).sum() for k in (0, 1)])[k] ** 2 for k in (0, 1)) / sum(p)
+    at_each = [gini(codes[:, feature[0]] // 2 <= b) + gini(codes[:, feature[0]] // 2 > b) for b in range(codes[:, feature[0]].max() // 2)]
+    assert abs(gini(left) + gini(~left) - max(at_each)) < 1e-12
+    # One label alone, or one value alone, is one end.
+    for alone in (codes | 1, codes * 0 + label[:, None]):
+        assert (forest.grown(alone, np.random.default_rng(2))[1] == 255).all()
+
+
 def test_transcript_rows_and_choice(spark):
     ex = _exons(spark, [("a", "-", 5, 10), ("a", "-", 13, 20), ("b", "+", 1, 2)]).withColumn("feat_level", F.lit("exon"))
     made = transcripts.with_transcript_rows(ex).where("feat_level = 'transcript'").collect()
