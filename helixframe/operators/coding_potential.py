@@ -93,6 +93,7 @@ def coding_potential(
     else:
         high = low = cutoff if cutoff is not None else coding.balanced_cutoffs(curve).agg(F.avg("cutoff")).first()[0]
     metrics = coding.with_mean(coding.confusion(coding.labelled(folded, high), ["fold"]))
-    scored = shared_checkpoint(coding.labelled(coding.forest_predictions(learn, test, features, "truth", trees, seed), high, low))
+    model = coding.fitted_forest(learn, features, "truth", trees, seed)
+    scored = shared_checkpoint(coding.labelled(coding.forest_scores(model, test, features), high, low))
     classes = coding.routed(names.select("name").distinct(), scored, "name")
-    return CodingPotential(folded, metrics, scored, classes, coding.label_summary(scored, high, low), coding.feature_importances(learn, features, "truth", trees, seed))
+    return CodingPotential(folded, metrics, scored, classes, coding.label_summary(scored, high, low), coding.feature_importances(learn, features, "truth", trees, seed, model))

@@ -247,21 +247,77 @@ def kmer_models(coding: DataFrame, noncoding: DataFrame, ks: Sequence[int]) -> D
     return counts.join(F.broadcast(totals), "k").select("k", "kmer", (fc / (fc + fn)).alias("ratio"))
 
 
+_DIGIT = np.full(256, 4, np.int64)
+_DIGIT[[ord(x) for x in "ACGT"]] = range(4)
+#: So many letters are scored at once.
+SCORED_LETTERS = 1 << 20
+
+
+def _mean_ratios(seqs: list[str | None], tables: dict[int, np.ndarray], others: dict[str, float]) -> np.ndarray:
+    """For each text and k the mean ratio of its k-mers; no number where it has none. `tables` has a
+    ratio for every k-mer of A, C, G and T, as a number to base 4, `others` those with other letters."""
+    raw = [s.encode("ascii", "replace") if s else b"" for s in seqs]
+    out = np.full((len(raw), len(tables)), np.nan)
+    upto = np.cumsum([0, *map(len, raw)])
+    a = 0
+    while a < len(raw):
+        z = max(a + 1, int(np.searchsorted(upto, upto[a] + SCORED_LETTERS, "right")) - 1)
+        sizes = np.diff(upto[a : z + 1])
+        digit = _DIGIT[np.frombuffer(b"".join(raw[a:z]), np.uint8)]
+        owner = np.repeat(np.arange(z - a), sizes)
+        at = np.arange(len(digit)) - np.repeat(upto[a:z] - upto[a], sizes)
+        odd = np.append(0, np.cumsum(digit > 3))
+        digit &= 3
+        for c, (k, table) in enumerate(tables.items()):
+            p = np.flatnonzero((at % codon_step(k) == 0) & (at + k <= sizes[owner]))
+            code = np.zeros(len(p), np.int64)
+            for i in range(k):
+                code = code * 4 + digit[p + i]
+            ratio = table[code]
+            for i in np.flatnonzero(odd[p + k] > odd[p]):
+                ratio[i] = others.get(seqs[a + owner[p[i]]][at[p[i]] : at[p[i]] + k], 0.5)
+            n = np.bincount(owner[p], minlength=z - a)
+            out[a:z, c] = np.divide(np.bincount(owner[p], ratio, z - a), n, out=out[a:z, c].copy(), where=n > 0)
+        a = z
+    return out
+
+
+def _ratio_tables(model: DataFrame, ks: Sequence[int]) -> tuple[dict[int, np.ndarray], dict[str, float]]:
+    """The model of these k as `_mean_ratios` takes it; k-mers it lacks have 0.5."""
+    tables, others = {k: np.full(4**k, 0.5) for k in ks}, {}
+    for r in model.where(F.col("k").isin(*ks)).select("k", "kmer", "ratio").toArrow().to_batches():
+        for k, kmer, ratio in zip(*(c.to_pylist() for c in r.columns), strict=True):
+            if set(kmer) <= set("ACGT"):
+                tables[k][int(kmer.translate(_TO_BASE_4), 4)] = ratio
+            else:
+                others[kmer] = ratio
+    return tables, others
+
+
+_TO_BASE_4 = str.maketrans("ACGT", "0123")
+
+
 def feature_matrix(found: DataFrame, model: DataFrame, ks: Sequence[int]) -> DataFrame:
     """(name, kmer_score_k..., orf_cover, rna_size) of the sequences with an open reading frame.
 
     `found` has name, orf_seq, orf_length and rna_size, `model` k, kmer and ratio. A score is
-    null where the frame is shorter than k. Names are unique.
+    null where the frame is shorter than k. Names are unique. The models of short k-mers are
+    read when this is called.
     """
-    frames = found.select("name", F.col("orf_seq").alias("seq"))
-    out = orf_coverage(found).select("name", "orf_cover", "rna_size")
-    # Short k-mers are many rows each, but their models few: these are broadcast.
+    # Short k-mers are many to a frame, but their models small: they are looked up where the frame is.
     short = [k for k in ks if 4**k <= BROADCAST_KMERS]
-    for some in (short, [k for k in ks if k not in short]):
-        if some:
-            own = all_kmers(frames, {k: codon_step(k) for k in some}, ("name",)).groupBy("name", "k", "kmer").agg(F.count("*").alias("n"))
-            ratios = model.where(F.col("k").isin(*some))
-            met = own.join(F.broadcast(ratios) if some is short else ratios, ["k", "kmer"], "left")
-            mean = lambda k: F.sum(F.when(F.col("k") == k, F.coalesce("ratio", F.lit(0.5)) * F.col("n"))) / F.sum(F.when(F.col("k") == k, F.col("n")))
-            out = out.join(met.groupBy("name").agg(*[mean(k).alias(f"kmer_score_{k}") for k in some]), "name", "left")
+    out = found.withColumn("orf_cover", F.col("orf_length") / F.col("rna_size"))
+    if short:
+        known = found.sparkSession.sparkContext.broadcast(_ratio_tables(model, short))
+
+        @F.pandas_udf(", ".join(f"kmer_score_{k} double" for k in short))
+        def means(seq: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame(_mean_ratios(seq.tolist(), *known.value), columns=[f"kmer_score_{k}" for k in short])
+
+        out = out.withColumn("s", F.explode(F.array(means("orf_seq")))).select("name", "s.*", "orf_cover", "rna_size")
+    if long := [k for k in ks if k not in short]:
+        own = all_kmers(found.select("name", F.col("orf_seq").alias("seq")), {k: codon_step(k) for k in long}, ("name",)).groupBy("name", "k", "kmer").agg(F.count("*").alias("n"))
+        met = own.join(model.where(F.col("k").isin(*long)), ["k", "kmer"], "left")
+        mean = lambda k: F.sum(F.when(F.col("k") == k, F.coalesce("ratio", F.lit(0.5)) * F.col("n"))) / F.sum(F.when(F.col("k") == k, F.col("n")))
+        out = out.join(met.groupBy("name").agg(*[mean(k).alias(f"kmer_score_{k}") for k in long]), "name", "left")
     return out.select("name", *[f"kmer_score_{k}" for k in ks], "orf_cover", "rna_size")

@@ -37,7 +37,9 @@ def _query(sql: str | None = None) -> Callable:
 
 def _seqs(spark: SparkSession, d: str) -> DataFrame:
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    return docs.select(F.concat(F.lit("S"), "doc_id").alias("name"), F.coalesce("lang", F.lit("")).alias("lang"), F.regexp_replace(F.upper("text"), "[^ACGT]", "").alias("seq")).where(F.length("seq") >= 3)
+    # A generated column is worked out once, where the letters would be picked for each use of them.
+    letters = F.explode(F.array(F.regexp_replace(F.upper("text"), "[^ACGT]+", ""))).alias("seq")
+    return docs.select(F.concat(F.lit("S"), "doc_id").alias("name"), F.coalesce("lang", F.lit("")).alias("lang"), letters).where(F.length("seq") >= 3)
 
 
 SEQS = "seqs as (select 'S' || doc_id as name, coalesce(lang, '') lang, regexp_replace(upper(text), '[^ACGT]', '', 'g') seq from documents where length(regexp_replace(upper(text), '[^ACGT]', '', 'g')) >= 3)"
@@ -381,7 +383,7 @@ def label_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _learn_and_test(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    seqs = _seqs(spark, d)
+    seqs = shared_checkpoint(_seqs(spark, d))
     others = seqs.where("lang not in ('en', 'de')")
     return *(frames_of_sequences(x) for x in (seqs.where("lang = 'en'"), seqs.where("lang = 'de'"), others)), others.select("name")
 

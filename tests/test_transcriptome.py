@@ -271,6 +271,32 @@ def test_cross_validation(spark):
     assert one.where("score is not null").count() == 0 and one.count() == 120
 
 
+def test_kmer_scores_in_place(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("ACGTNé", [9, 9, 9, 9, 1, 1], k=n)) for n in (0, 1, 2, 5, 8, 9, 40, 300, 2000)] + [None]
+    ks = (1, 2, 3, 6, 10)
+    model = {k: {kmer: rng.random() for s in texts[-4:-1] for i in range(0, len(s) - k + 1, 2) if (kmer := s[i : i + k])} for k in ks}
+    table = spark.createDataFrame([(k, kmer, r) for k, of in model.items() for kmer, r in of.items()], "k int, kmer string, ratio double")
+    found = spark.createDataFrame([(f"n{i}", s, None if s is None else len(s), 4000) for i, s in enumerate(texts)], "name string, orf_seq string, orf_length int, rna_size int")
+    matrix = sequences.feature_matrix(found, table, ks)
+    for r in matrix.collect():
+        s = texts[int(r.name[1:])] or ""
+        for k in ks:
+            own = [model[k].get(s[i : i + k], 0.5) for i in range(0, len(s) - k + 1, sequences.codon_step(k))]
+            got = r[f"kmer_score_{k}"]
+            assert got is None if not own else abs(got - sum(own) / len(own)) < 1e-9
+    short = sequences.feature_matrix(found, table, ks[:4])
+    assert "Exchange" not in short._jdf.queryExecution().executedPlan().toString() and short.count() == len(texts)
+    letters = sequences.SCORED_LETTERS
+    try:
+        sequences.SCORED_LETTERS = 50
+        some = sequences._mean_ratios(texts, *sequences._ratio_tables(table, ks[:4]))
+    finally:
+        sequences.SCORED_LETTERS = letters
+    whole = sequences._mean_ratios(texts, *sequences._ratio_tables(table, ks[:4]))
+    assert np.allclose(some, whole, equal_nan=True)
+
+
 def test_forests_are_grown_in_few_jobs_and_repeat(spark):
     rng = random.Random(4)
     rows = [(f"n{i}", rng.gauss(2 * (i % 3 == 0), 1), rng.choice([0, 1, 2]), rng.random(), int(i % 3 == 0)) for i in range(300)]
