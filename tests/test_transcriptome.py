@@ -11,6 +11,7 @@ from helixframe.functions import intervals as iv
 from helixframe.functions import sequence as seqf
 from helixframe.operators import candidates, classify, coding, coding_potential, forest, gene_level, sequences, transcripts
 from helixframe.operators.range_join import range_join
+from helixframe.plans import sequence as sequence_plans
 from helixframe.plans.transcriptome import gtf_roundtrip
 from helixframe.sources import annotation, fasta
 
@@ -271,6 +272,14 @@ def test_cross_validation(spark):
     assert one.where("score is not null").count() == 0 and one.count() == 120
 
 
+def test_letters_are_picked_once(spark, tmp_path):
+    texts = ["xxACGTxx", "acg t", "ac", None, "é\nGATTACA\n"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' lang").write.parquet(f"{tmp_path}/documents.parquet")
+    seqs = sequence_plans._seqs(spark, str(tmp_path))
+    assert {(r.name, r.seq) for r in seqs.collect()} == {("S0", "ACGT"), ("S1", "ACGT"), ("S4", "GATTACA")}
+    assert seqs._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
 def test_kmer_scores_in_place(spark):
     rng = random.Random(5)
     texts = ["".join(rng.choices("ACGTNé", [9, 9, 9, 9, 1, 1], k=n)) for n in (0, 1, 2, 5, 8, 9, 40, 300, 2000)] + [None]
