@@ -23,8 +23,7 @@ FRAME = ["name", "seq", "orf_seq", "orf_length", "rna_size"]
 
 def frames_of_sequences(sequences: DataFrame, kind: int = 3, kmers: Sequence[int] = KMERS) -> DataFrame:
     """(name, seq, orf_seq, orf_length, rna_size) of the sequences (name, seq) with a frame of at least twice the longest k-mer."""
-    named = sequences.select("name", "seq")
-    return named.join(sq.orfs(named, kind, 2 * max(kmers)).drop("orf_kind", "orf_start"), "name").select(*FRAME)
+    return sq.orfs(sequences.where("name is not null"), kind, 2 * max(kmers), ("seq",)).select(*FRAME)
 
 
 def frames_of_transcripts(features: DataFrame, chunks: DataFrame, kind: int = 3, kmers: Sequence[int] = KMERS, chunk: int = sq.CHUNK) -> DataFrame:
@@ -54,10 +53,19 @@ class CodingPotential:
 
 
 def learning_parts(coding_frames: DataFrame, other_frames: DataFrame, share: float = 0.1, seed: int = 1) -> DataFrame:
-    """Both sides as one table with truth (1 coding, 0 not) and part: model or forest."""
+    """Both sides as one table with truth (1 coding, 0 not) and part: model or forest.
+
+    Names alone are numbered, when this is called; the frames are told apart by the last name of
+    each side's model part.
+    """
     both = coding_frames.select(*FRAME).withColumn("truth", F.lit(1)).unionByName(other_frames.select(*FRAME).withColumn("truth", F.lit(0)))
-    parts = coding.holdout_split(both.select("name", "truth"), "name", "truth", share, seed)
-    return both.join(parts, ["name", "truth"])
+    parts = coding.holdout_split(shared_checkpoint(both.select("name", "truth")), "name", "truth", share, seed)
+    at = F.struct(coding.hash_order(F.col("name"), seed).alias("h"), "name")
+    last = {r.truth: r["last"] for r in parts.where("part = 'model'").groupBy("truth").agg(F.max(at).alias("last")).collect()}  # two rows
+    part = F.lit("forest")
+    for truth, (h, name) in last.items():
+        part = F.when((F.col("truth") == truth) & (at <= F.struct(F.lit(h).alias("h"), F.lit(name).alias("name"))), "model").otherwise(part)
+    return both.where("name is not null").withColumn("part", part)
 
 
 def learnt_features(parts: DataFrame, candidates: DataFrame, kmers: Sequence[int] = KMERS) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +73,7 @@ def learnt_features(parts: DataFrame, candidates: DataFrame, kmers: Sequence[int
     for_model = parts.where("part = 'model'")
     model = shared_checkpoint(sq.kmer_models(for_model.where("truth = 1").select(F.col("orf_seq").alias("seq")), for_model.where("truth = 0").select("seq"), kmers))
     forest = parts.where("part = 'forest'")
-    return sq.feature_matrix(forest, model, kmers).join(forest.select("name", "truth"), "name"), sq.feature_matrix(candidates, model, kmers)
+    return sq.feature_matrix(forest, model, kmers, ("truth",)), sq.feature_matrix(candidates, model, kmers)
 
 
 def coding_potential(
@@ -83,7 +91,8 @@ def coding_potential(
     is called.
     """
     sides = [coding.capped(shared_checkpoint(d.select(*FRAME)), "name", most, least, seed) for d in (coding_frames, other_frames)]
-    learn, test = learnt_features(shared_checkpoint(learning_parts(*sides, share, seed)), shared_checkpoint(candidates.select(*FRAME)), kmers)
+    parts = learning_parts(*sides, share, seed)
+    learn, test = learnt_features(parts if most is None else shared_checkpoint(parts), shared_checkpoint(candidates.select(*FRAME)), kmers)
     learn, features = shared_checkpoint(learn), [*(f"kmer_score_{k}" for k in kmers), "orf_cover", "rna_size"]
     folded = shared_checkpoint(coding.cross_validated(learn, "name", features, "truth", n_folds, trees, seed))
     curve = coding.cutoff_curve(folded.select("fold", "score", "truth"))

@@ -22,7 +22,11 @@ BINS, EDGE_ROWS = 32, 1 << 16
 MATRIX_ROWS = 1 << 24
 #: Trees a task, and rows counted at once, so that they stay in a core's cache.
 TASK_TREES, SLICE = 25, 1 << 16
+#: While there are so many rows a node, they are kept side by side by node and counted node by node.
+NODE_ROWS = 1024
 _CODES = 2 * BINS
+#: A row's codes take 6 bits of a byte each; the other two hold how often it is drawn, less 1.
+_CODE, _MOST = _CODES - 1, 256 // _CODES
 #: How often a row is drawn, by 16 random bits: the Poisson distribution with mean 1.
 _DRAWN = np.searchsorted(np.cumsum([1 / (np.e * float(np.prod(np.arange(1, k + 1)))) for k in range(9)]), (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.uint8)
 
@@ -92,21 +96,26 @@ def grown(codes: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.n
     feature, cut, weight = np.zeros((1 << DEPTH) - 1, np.uint8), np.full((1 << DEPTH) - 1, 255, np.uint8), np.zeros(width)
     share = np.zeros(1 << DEPTH)
     drawn = _DRAWN.take(rng.integers(0, 1 << 16, n, np.uint16))
-    kept = np.flatnonzero(drawn)
-    if not len(kept):
-        kept, drawn = np.arange(n), np.ones(n, np.uint8)
-    rows, times, at, open_ = codes.take(kept, 0), drawn.take(kept), np.zeros(len(kept), np.uint8), np.ones(1, bool)
-    place = np.arange(min(len(rows), SLICE)) * width
+    if not drawn.any():
+        drawn = np.ones(n, np.uint8)
+    rows, open_ = _drawn_rows(codes, drawn), np.ones(1, bool)
+    place, bounds = np.arange(min(len(rows), SLICE)) * rows.shape[1], [0, len(rows)]
     for level in range(DEPTH):
         nodes = 1 << level
         i = np.arange(nodes)
         some = np.ascontiguousarray(rng.random((nodes, width)).argsort(1)[:, :tried].T)
-        counts = np.zeros((tried, nodes * _CODES))
-        for a in range(0, len(rows), SLICE):
-            flat, node, w = rows[a : a + SLICE].ravel(), at[a : a + SLICE].astype(np.int64), times[a : a + SLICE].astype(float)
-            here, first = place[: len(node)], node * _CODES
-            for j in range(tried):
-                counts[j] += np.bincount(first + flat.take(here + some[j].take(node)), w, nodes * _CODES)
+        if bounds and len(rows) < nodes * NODE_ROWS:
+            at, times = np.repeat(i.astype(np.uint8), np.diff(bounds)), (rows[:, 0] // _CODES + 1).astype(float)
+            rows, bounds = rows & np.uint8(_CODE), None
+        if bounds:
+            counts = _node_counts(rows, bounds, some)
+        else:
+            counts = np.zeros((tried, nodes * _CODES))
+            for a in range(0, len(rows), SLICE):
+                flat, node, w = rows[a : a + SLICE].ravel(), at[a : a + SLICE].astype(np.int64), times[a : a + SLICE]
+                here, first = place[: len(node)], node * _CODES
+                for j in range(tried):
+                    counts[j] += np.bincount(first + flat.take(here + some[j].take(node)), w, nodes * _CODES)
         # By label: what lies left of each cut, the whole node, and what lies right.
         parts = counts.reshape(tried, nodes, BINS, 2)
         l0, l1 = (np.cumsum(parts[..., c] * side[c], 2) for c in (0, 1))
@@ -132,6 +141,10 @@ def grown(codes: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.n
         share[won * span], share[won * span + span // 2] = l1[at_best] / l[at_best], r1[at_best] / r[at_best]
         if not len(won) or level == DEPTH - 1:
             break
+        open_ = np.repeat(split, 2)
+        if bounds:
+            rows, bounds = _parted(rows, bounds, split, own, 2 * b + 1)
+            continue
         if np.count_nonzero(split.take(at)) < len(at) * 7 // 8:
             stay = np.flatnonzero(split.take(at))
             rows, times, at = rows.take(stay, 0), times.take(stay), at.take(stay)
@@ -139,10 +152,59 @@ def grown(codes: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.n
         for a in range(0, len(rows), SLICE):
             node = at[a : a + SLICE].astype(np.int64)
             after[a : a + SLICE] = 2 * node + (rows[a : a + SLICE].ravel().take(place[: len(node)] + own.take(node)) > limit.take(node))
-        at, open_ = after, np.repeat(split, 2)
+        at = after
     return feature, cut, share, weight
 
 
+def _drawn_rows(codes: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+    """The rows that are drawn, with how often in the upper bits of each byte; those drawn more often than these hold are there again.
+
+    Rows are as wide as a whole number of words, which are copied fastest.
+    """
+    kept, parts = np.flatnonzero(drawn), []
+    while len(kept):
+        times = drawn.take(kept)
+        rows = codes.take(kept, 0)
+        if odd := rows.shape[1] % 8:
+            rows = np.pad(rows, ((0, 0), (0, 8 - odd)))
+        rows.view(np.uint64)[...] |= _TIMES.take(times)[:, None]
+        parts.append(rows)
+        more = times > _MOST
+        kept = kept[more]
+        drawn[kept] -= _MOST
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+#: By how often a row is drawn, the upper bits of every byte of a word.
+_TIMES = np.array([min(max(t - 1, 0), _MOST - 1) * int.from_bytes(bytes([_CODES] * 8), "little") for t in range(256)], np.uint64)
+
+
+def _node_counts(rows: np.ndarray, bounds: list[int], some: np.ndarray) -> np.ndarray:
+    """For each of `some` features of each node the rows by code, as often as they are drawn."""
+    found = np.zeros((*some.shape, 256), np.int64)
+    for i, tried in enumerate(some.T.tolist()):
+        if bounds[i] < bounds[i + 1]:
+            here = rows[bounds[i] : bounds[i + 1]]
+            for j, f in enumerate(tried):
+                found[j, i] = np.bincount(here[:, f], minlength=256)
+    by_times = found.reshape(*some.shape, _MOST, _CODES)
+    return sum(by_times[:, :, t] * (t + 1.0) for t in range(_MOST)).reshape(len(some), -1)
+
+
+def _parted(rows: np.ndarray, bounds: list[int], split: np.ndarray, own: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The rows of the nodes below, side by side; those of nodes without a split are left out."""
+    parts, upto = [], [0]
+    for i, (divided, f, most) in enumerate(zip(split.tolist(), own.tolist(), limit.tolist(), strict=True)):
+        if not divided:
+            upto += [upto[-1]] * 2
+            continue
+        here = rows[bounds[i] : bounds[i + 1]]
+        right = (here[:, f] & np.uint8(_CODE)) > most
+        parts += [here.take(np.flatnonzero(side), 0) for side in (~right, right)]
+        upto += [upto[-1] + len(parts[-2]), upto[-1] + len(here)]
+    return np.concatenate(parts), upto
+
+
 def matrix(usable: DataFrame, features: Sequence[str], label: str, fold: str | None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(edges, codes, folds) of the rows, in an order that only hangs on what they hold. Runs two jobs."""
     features, cols = list(features), [F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]
@@ -162,6 +224,8 @@ def matrix(usable: DataFrame, features: Sequence[str], label: str, fold: str | N
     codes = np.frombuffer(b"".join(bytes(b.codes) for b in blocks), np.uint8).reshape(-1, len(names))
     folds = np.frombuffer(b"".join(bytes(b.folds) for b in blocks), np.int32)
     order = np.lexsort((*codes.T, folds))
+    # Counting many equal codes in a row is slow.
+    order = order[np.random.default_rng(0).permutation(len(order))]
     return edges, codes[order], folds[order]
 
 

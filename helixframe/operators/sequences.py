@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from helixframe.functions.sequence import reverse_complement
 from helixframe.operators.interval_merge import merge_intervals
@@ -126,8 +128,8 @@ def _longest(seqs: list[str | None], tried: list[int], min_length: int) -> np.nd
     return best
 
 
-def orfs(sequences: DataFrame, kind: int = 3, min_length: int = 6) -> DataFrame:
-    """(name, orf_kind, orf_start, orf_length, orf_seq, rna_size): the frame of each sequence, if any.
+def orfs(sequences: DataFrame, kind: int = 3, min_length: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(name, orf_kind, orf_start, orf_length, orf_seq, rna_size) and `keep`: the frame of each sequence, if any.
 
     Kinds 0, 1 and 2 need start and stop, a start, a stop. Kind 3 takes the longest of these,
     kind 4 of these and of frames that need neither; the lowest kind on ties, and within a
@@ -141,8 +143,8 @@ def orfs(sequences: DataFrame, kind: int = 3, min_length: int = 6) -> DataFrame:
         return pd.DataFrame(_longest(seq.tolist(), tried, min_length).astype(np.int32), columns=["kind", "length", "start"])
 
     # A generated column is worked out once, where the function would be for each use of it.
-    found = sequences.select("name", "seq").withColumn("b", F.explode(F.array(frame("seq")))).where("b.kind >= 0")
-    return found.select("name", F.col("b.kind").alias("orf_kind"), F.col("b.start").alias("orf_start"), F.col("b.length").alias("orf_length"), F.substring("seq", F.col("b.start"), F.col("b.length")).alias("orf_seq"), F.length("seq").alias("rna_size"))
+    found = sequences.select("name", "seq", *[c for c in keep if c not in ("name", "seq")]).withColumn("b", F.explode(F.array(frame("seq")))).where("b.kind >= 0")
+    return found.select("name", F.col("b.kind").alias("orf_kind"), F.col("b.start").alias("orf_start"), F.col("b.length").alias("orf_length"), F.substring("seq", F.col("b.start"), F.col("b.length")).alias("orf_seq"), F.length("seq").alias("rna_size"), *keep)
 
 
 def orf_coverage(found: DataFrame) -> DataFrame:
@@ -237,48 +239,111 @@ def all_kmers(sequences: DataFrame, steps: Mapping[int, int], keys: tuple[str, .
     return pieces.select(*keys, F.explode(F.concat(*[of(k) for k in steps])).alias("x")).select(*keys, "x.k", "x.kmer")
 
 
+_DIGIT = np.full(256, 4, np.int64)
+_DIGIT[[ord(x) for x in "ACGT"]] = range(4)
+_OTHER_LETTERS = "[^ACGT]"
+#: So many letters are worked on at once.
+SCORED_LETTERS = 1 << 20
+#: k-mers of at most so many of A, C, G and T are numbers of 64 bits.
+NUMBERED = 31
+
+
+def _letters_at_once(raw: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts of about SCORED_LETTERS in all, from and up to."""
+    upto, a = np.cumsum([0, *map(len, raw)]), 0
+    while a < len(raw):
+        z = max(a + 1, int(np.searchsorted(upto, upto[a] + SCORED_LETTERS, "right")) - 1)
+        yield a, z
+        a = z
+
+
+def _numbers(digit: np.ndarray, p: np.ndarray, k: int) -> np.ndarray:
+    """The k digits from each of `p` on as a number to base 4."""
+    code = np.zeros(len(p), np.int64)
+    for i in range(k):
+        code = code * 4 + digit[p + i]
+    return code
+
+
+def _numbered(seqs: list[str | None], steps: Mapping[int, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, which text, number) of the k-mers of A, C, G and T alone, each as a number to base 4."""
+    raw = [s.encode("ascii", "replace") if s else b"" for s in seqs]
+    for a, z in _letters_at_once(raw):
+        sizes = np.array([len(x) for x in raw[a:z]])
+        digit = _DIGIT[np.frombuffer(b"".join(raw[a:z]), np.uint8)]
+        owner = np.repeat(np.arange(z - a), sizes)
+        at = np.arange(len(digit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        odd = np.append(0, np.cumsum(digit > 3))
+        for k, step in steps.items():
+            p = np.flatnonzero((at % step == 0) & (at + k <= sizes[owner]))
+            p = p[odd[p + k] == odd[p]]
+            yield k, owner[p] + a, _numbers(digit, p, k)
+
+
+def numbered_kmers(sequences: DataFrame, k: int, step: int = 1) -> DataFrame:
+    """(name, number): as `kmers` of A, C, G and T alone, each as a number to base 4."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, whose, number in _numbered(b["seq"].to_pylist(), {k: step}):
+                yield pa.record_batch({"name": b["name"].take(pa.array(whose)), "number": number})
+
+    return sequences.select("name", "seq").mapInArrow(cut, StructType([sequences.schema["name"], StructField("number", LongType())]))
+
+
+def numbered_counts(sequences: DataFrame, steps: Mapping[int, int]) -> DataFrame:
+    """(k, number, n): as `numbered_kmers` for several k at once, counted over some texts at a time."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, _, number in _numbered(b["seq"].to_pylist(), steps):
+                known, n = np.unique(number, return_counts=True)
+                yield pa.record_batch({"k": np.full(len(known), k, np.int32), "number": known, "n": n})
+
+    return sequences.select("seq").mapInArrow(count, "k int, number long, n long")
+
+
 def kmer_models(coding: DataFrame, noncoding: DataFrame, ks: Sequence[int]) -> DataFrame:
     """(k, kmer, ratio): as `kmer_model` for several k, over `seq` of coding frames and of other sequences."""
     sides = [(coding, {k: codon_step(k) for k in ks}, "c"), (noncoding, dict.fromkeys(ks, 1), "n")]
-    found = reduce(DataFrame.unionByName, [all_kmers(d, steps).select("k", "kmer", F.lit(n).alias("side")) for d, steps, n in sides])
-    counts = found.groupBy("k", "kmer").agg(F.count_if(F.col("side") == "c").alias("c"), F.count_if(F.col("side") == "n").alias("n"))
+    of = lambda n: [F.sum(F.when(F.col("side") == x, F.col(n))).alias(x) for x in "cn"]
+    numbers, odd = [], []
+    for d, steps, side in sides:
+        if small := {k: s for k, s in steps.items() if k <= NUMBERED}:
+            numbers.append(numbered_counts(d, small).withColumn("side", F.lit(side)))
+        # k-mers with other letters, and very long ones, are counted by their letters.
+        whole = all_kmers(d if len(small) < len(steps) else d.where(F.col("seq").rlike(_OTHER_LETTERS)), steps)
+        odd.append(whole.where((F.col("k") > NUMBERED) | F.col("kmer").rlike(_OTHER_LETTERS)).withColumn("side", F.lit(side)))
+    counts = reduce(DataFrame.unionByName, odd).withColumn("n", F.lit(1)).groupBy("k", "kmer").agg(*of("n"))
+    if numbers:
+        known = reduce(DataFrame.unionByName, numbers).groupBy("k", "number").agg(*of("n"))
+        spelled = F.translate(F.lpad(F.conv(F.col("number").cast("string"), 10, 4), F.col("k"), F.lit("0")), "0123", "ACGT")
+        counts = known.select("k", spelled.alias("kmer"), "c", "n").unionByName(counts)
+    counts = counts.fillna(0, ["c", "n"])
     totals = counts.groupBy("k").agg(F.sum("c").alias("all_c"), F.sum("n").alias("all_n"))  # a row for each k
     fc, fn = (F.coalesce(F.try_divide(x, f"all_{x}"), F.lit(0.0)) for x in "cn")
     return counts.join(F.broadcast(totals), "k").select("k", "kmer", (fc / (fc + fn)).alias("ratio"))
 
 
-_DIGIT = np.full(256, 4, np.int64)
-_DIGIT[[ord(x) for x in "ACGT"]] = range(4)
-#: So many letters are scored at once.
-SCORED_LETTERS = 1 << 20
-
-
 def _mean_ratios(seqs: list[str | None], tables: dict[int, np.ndarray], others: dict[str, float]) -> np.ndarray:
     """For each text and k the mean ratio of its k-mers; no number where it has none. `tables` has a
     ratio for every k-mer of A, C, G and T, as a number to base 4, `others` those with other letters."""
     raw = [s.encode("ascii", "replace") if s else b"" for s in seqs]
     out = np.full((len(raw), len(tables)), np.nan)
-    upto = np.cumsum([0, *map(len, raw)])
-    a = 0
-    while a < len(raw):
-        z = max(a + 1, int(np.searchsorted(upto, upto[a] + SCORED_LETTERS, "right")) - 1)
-        sizes = np.diff(upto[a : z + 1])
+    for a, z in _letters_at_once(raw):
+        sizes = np.array([len(x) for x in raw[a:z]])
         digit = _DIGIT[np.frombuffer(b"".join(raw[a:z]), np.uint8)]
         owner = np.repeat(np.arange(z - a), sizes)
-        at = np.arange(len(digit)) - np.repeat(upto[a:z] - upto[a], sizes)
+        at = np.arange(len(digit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         odd = np.append(0, np.cumsum(digit > 3))
         digit &= 3
         for c, (k, table) in enumerate(tables.items()):
             p = np.flatnonzero((at % codon_step(k) == 0) & (at + k <= sizes[owner]))
-            code = np.zeros(len(p), np.int64)
-            for i in range(k):
-                code = code * 4 + digit[p + i]
-            ratio = table[code]
+            ratio = table[_numbers(digit, p, k)]
             for i in np.flatnonzero(odd[p + k] > odd[p]):
                 ratio[i] = others.get(seqs[a + owner[p[i]]][at[p[i]] : at[p[i]] + k], 0.5)
             n = np.bincount(owner[p], minlength=z - a)
             out[a:z, c] = np.divide(np.bincount(owner[p], ratio, z - a), n, out=out[a:z, c].copy(), where=n > 0)
-        a = z
     return out
 
 
@@ -297,8 +362,25 @@ def _ratio_tables(model: DataFrame, ks: Sequence[int]) -> tuple[dict[int, np.nda
 _TO_BASE_4 = str.maketrans("ACGT", "0123")
 
 
-def feature_matrix(found: DataFrame, model: DataFrame, ks: Sequence[int]) -> DataFrame:
-    """(name, kmer_score_k..., orf_cover, rna_size) of the sequences with an open reading frame.
+def _met_ratios(frames: DataFrame, model: DataFrame, k: int) -> DataFrame:
+    """(name, k, s, m): the sums of the ratios of each frame's k-mers, which are joined to the model, and their number.
+
+    Those of A, C, G and T are joined by number, all others by their letters; rows of a name may be several.
+    """
+    sums = lambda d: d.groupBy("name").agg(F.sum(F.coalesce("ratio", F.lit(0.5))).alias("s"), F.count("*").alias("m"))
+    model, parts, step = model.where(F.col("k") == k).select("kmer", "ratio"), [], codon_step(k)
+    odd = F.col("kmer").rlike(_OTHER_LETTERS)
+    if k <= NUMBERED:
+        number = F.conv(F.translate("kmer", "ACGT", "0123"), 4, 10).cast("long")
+        parts.append(sums(numbered_kmers(frames, k, step).join(model.where(~odd).select(number.alias("number"), "ratio"), "number", "left")))
+        frames, model = frames.where(F.col("seq").rlike(_OTHER_LETTERS)), model.where(odd)
+    own = kmers(frames, k, step, ("name",))
+    parts.append(sums((own.where(odd) if k <= NUMBERED else own).join(model, "kmer", "left")))
+    return reduce(DataFrame.unionByName, parts).withColumn("k", F.lit(k))
+
+
+def feature_matrix(found: DataFrame, model: DataFrame, ks: Sequence[int], keep: tuple[str, ...] = ()) -> DataFrame:
+    """(name, kmer_score_k..., orf_cover, rna_size) and `keep` of the sequences with an open reading frame.
 
     `found` has name, orf_seq, orf_length and rna_size, `model` k, kmer and ratio. A score is
     null where the frame is shorter than k. Names are unique. The models of short k-mers are
@@ -314,10 +396,10 @@ def feature_matrix(found: DataFrame, model: DataFrame, ks: Sequence[int]) -> Dat
         def means(seq: pd.Series) -> pd.DataFrame:
             return pd.DataFrame(_mean_ratios(seq.tolist(), *known.value), columns=[f"kmer_score_{k}" for k in short])
 
-        out = out.withColumn("s", F.explode(F.array(means("orf_seq")))).select("name", "s.*", "orf_cover", "rna_size")
+        out = out.withColumn("s", F.explode(F.array(means("orf_seq")))).select("name", "s.*", "orf_cover", "rna_size", *keep)
     if long := [k for k in ks if k not in short]:
-        own = all_kmers(found.select("name", F.col("orf_seq").alias("seq")), {k: codon_step(k) for k in long}, ("name",)).groupBy("name", "k", "kmer").agg(F.count("*").alias("n"))
-        met = own.join(model.where(F.col("k").isin(*long)), ["k", "kmer"], "left")
-        mean = lambda k: F.sum(F.when(F.col("k") == k, F.coalesce("ratio", F.lit(0.5)) * F.col("n"))) / F.sum(F.when(F.col("k") == k, F.col("n")))
+        frames = found.select("name", F.col("orf_seq").alias("seq"))
+        met = reduce(DataFrame.unionByName, [_met_ratios(frames, model, k) for k in long])
+        mean = lambda k: F.sum(F.when(F.col("k") == k, F.col("s"))) / F.sum(F.when(F.col("k") == k, F.col("m")))
         out = out.join(met.groupBy("name").agg(*[mean(k).alias(f"kmer_score_{k}") for k in long]), "name", "left")
-    return out.select("name", *[f"kmer_score_{k}" for k in ks], "orf_cover", "rna_size")
+    return out.select("name", *[f"kmer_score_{k}" for k in ks], "orf_cover", "rna_size", *keep)

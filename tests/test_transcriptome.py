@@ -306,6 +306,39 @@ def test_kmer_scores_in_place(spark):
     assert np.allclose(some, whole, equal_nan=True)
 
 
+def test_kmers_of_models_are_numbers(spark):
+    rng = random.Random(6)
+    sides = [["".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=n)) for n in (1, 40, 300)] + [None, "é" * 13 + "ACGTACGTACGT"] for _ in range(2)]
+    coding_rows, other_rows = (spark.createDataFrame([(x,) for x in side], "seq string") for side in sides)
+    ks = (1, 3, 12, 33)
+    model = sequences.kmer_models(coding_rows, other_rows, ks)
+    cut = lambda side, k, step: [x[i : i + k] for x in side if x for i in range(0, len(x) - k + 1, step)]
+    want = {}
+    for k in ks:
+        c, n = cut(sides[0], k, sequences.codon_step(k)), cut(sides[1], k, 1)
+        for kmer in {*c, *n}:
+            fc, fn = c.count(kmer) / len(c), n.count(kmer) / len(n)
+            want[k, kmer] = fc / (fc + fn)
+    got = {(r.k, r.kmer): r.ratio for r in model.collect()}
+    assert got.keys() == want.keys() and model.count() == len(want) and all(abs(got[x] - want[x]) < 1e-12 for x in want)
+    assert "MapInArrow" in model._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_frames_and_parts_stay_where_they_are(spark):
+    rng = random.Random(7)
+    rows = [(f"n{i}", "ATG" + "".join(rng.choices("ACG", k=60)) + "TAA", "x") for i in range(200)] + [(None, "ATGACGTAA" * 9, "x")]
+    frames = coding_potential.frames_of_sequences(spark.createDataFrame(rows, "name string, seq string, other string"), kmers=(1, 3))
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan(frames) and frames.columns == coding_potential.FRAME
+    assert {(r.name, r.seq) for r in frames.collect()} == {x[:2] for x in rows[:-1]}
+    sides = frames.where("name < 'n15'"), frames.where("name >= 'n15'")
+    parts = coding_potential.learning_parts(*sides, share=0.2)
+    assert "Join" not in plan(parts)
+    named = frames.selectExpr("name", "int(name < 'n15') as truth")
+    want = {tuple(r) for r in coding.holdout_split(named, "name", "truth", 0.2).select("name", "truth", "part").collect()}
+    assert {tuple(r) for r in parts.select("name", "truth", "part").collect()} == want and parts.count() == 200
+
+
 def test_forests_are_grown_in_few_jobs_and_repeat(spark):
     rng = random.Random(4)
     rows = [(f"n{i}", rng.gauss(2 * (i % 3 == 0), 1), rng.choice([0, 1, 2]), rng.random(), int(i % 3 == 0)) for i in range(300)]
@@ -349,6 +382,21 @@ def test_grown_tree():
         assert (forest.grown(alone, np.random.default_rng(2))[1] == 255).all()
 
 
+def test_trees_counted_by_node(monkeypatch):
+    r = np.random.default_rng(5)
+    label = (r.random(3000) < 0.3).astype(np.uint8)
+    for width in (1, 8, 9):
+        codes = (r.integers(0, forest.BINS, (3000, width)) + 3 * label[:, None]).clip(0, forest.BINS - 1).astype(np.uint8) * np.uint8(2) + label[:, None]
+        trees = []
+        for rows in (0, 100, 1 << 30):
+            monkeypatch.setattr(forest, "NODE_ROWS", rows)
+            trees.append(forest.grown(codes, np.random.default_rng(8)))
+        assert all((x == y).all() for other in trees[1:] for x, y in zip(trees[0], other, strict=True))
+    drawn = np.arange(10, dtype=np.uint8)
+    found = forest._drawn_rows(np.arange(20, dtype=np.uint8).reshape(10, 2), drawn.copy())
+    assert (np.bincount(found[:, 1] & 63, found[:, 1] // 64 + 1, 20)[1::2] == drawn).all()
+
+
 def test_transcript_rows_and_choice(spark):
     ex = _exons(spark, [("a", "-", 5, 10), ("a", "-", 13, 20), ("b", "+", 1, 2)]).withColumn("feat_level", F.lit("exon"))
     made = transcripts.with_transcript_rows(ex).where("feat_level = 'transcript'").collect()
